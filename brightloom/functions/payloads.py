@@ -44,50 +44,3 @@ def encode_payload(message: Column, prediction: Column, ts: Column) -> Column:
             message.alias("message"), prediction.alias("prediction"), epoch_seconds(ts).alias("timestamp")
         )
     )
-
-
-def parsed(value: Column) -> Column:
-    """The record as a variant, null where it is no valid JSON."""
-    return F.try_parse_json(value)
-
-
-def _is_empty(field: Column) -> Column:
-    """Absent, null, false, zero, empty text, empty list or empty object."""
-    text = F.try_variant_get(field, "$", "string")
-    kind = F.schema_of_variant(field)
-    number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
-    return F.coalesce(
-        field.isNull()
-        | (kind == "VOID")
-        | ((kind == "BOOLEAN") & (text == "false"))
-        | (number & (F.try_variant_get(field, "$", "double") == 0.0))
-        | ((kind == "STRING") & (text == ""))
-        | text.isin("{}", "[]") & (kind.startswith("OBJECT") | kind.startswith("ARRAY")),
-        F.lit(True),
-    )
-
-
-def _first_filled(record: Column, raw: Column, *names: str) -> Column:
-    picked = raw
-    for name in reversed(names):
-        field = F.try_variant_get(record, f"$.{name}", "variant")
-        picked = F.when(~_is_empty(field), F.try_variant_get(field, "$", "string")).otherwise(picked)
-    return picked
-
-
-def message_and_prediction(value: Column) -> tuple[Column, Column]:
-    """The two fields of a record, each falling back to the record's own text.
-
-    The prediction may come as ``sentiment``; a record that is no object is both fields.
-    """
-    record = parsed(value)
-    is_object = F.schema_of_variant(record).startswith("OBJECT")
-    scalar = F.coalesce(F.try_variant_get(record, "$", "string"), value)
-    message = F.when(is_object, _first_filled(record, value, "message")).otherwise(scalar)
-    prediction = F.when(is_object, _first_filled(record, value, "prediction", "sentiment")).otherwise(scalar)
-    return message, prediction
-
-
-def event_seconds(value: Column) -> Column:
-    """The record's own time in epoch seconds, null where it has none."""
-    return F.try_variant_get(parsed(value), "$.timestamp", "double")

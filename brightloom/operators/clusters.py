@@ -8,8 +8,9 @@ finds its nearest one by itself.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -108,20 +109,26 @@ def silhouette(clustered: DataFrame, features: str = FEATURES, cluster: str = CL
     ).evaluate(clustered)
 
 
-def sweep(vectors: DataFrame, ks: Iterable[int] = SWEEP, *, with_silhouette: bool = False, seed: int = SEED) -> DataFrame:
+def sweep(
+    vectors: DataFrame, ks: Iterable[int] = SWEEP, *, with_silhouette: bool = False, seed: int = SEED, parallelism: int = 4
+) -> DataFrame:
     """``k, cost`` and optionally ``silhouette`` for each number of clusters.
 
-    All fits share one cached copy of the scaled vectors.
+    All fits share one cached copy of the scaled vectors, and ``parallelism`` of them run at
+    a time: the iterations of one fit leave executors idle that another can use.
     """
     scaled = standardised(vectors).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
+
+    def evaluate(k: int) -> dict:
+        model = KMeans(k=k, seed=seed, featuresCol=SCALED, predictionCol=CLUSTER).fit(scaled)
+        result = {"k": k, "cost": float(model.summary.trainingCost)}
+        if with_silhouette:
+            result["silhouette"] = silhouette(model.transform(scaled), SCALED)
+        return result
+
     try:
-        for k in ks:
-            model = KMeans(k=k, seed=seed, featuresCol=SCALED, predictionCol=CLUSTER).fit(scaled)
-            result = {"k": k, "cost": float(model.summary.trainingCost)}
-            if with_silhouette:
-                result["silhouette"] = silhouette(model.transform(scaled), SCALED)
-            results.append(result)
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = list(pool.map(inheritable_thread_target(scaled.sparkSession)(evaluate), ks))
     finally:
         scaled.unpersist()
     fields = "k int, cost double" + (", silhouette double" if with_silhouette else "")

@@ -10,6 +10,7 @@ between does a pass look at their values one by one.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 
 from brightloom.operators.columns import quoted
 
-GRID = 500  # quantiles asked of a sketch
-SKETCH_ACCURACY = 4 * GRID  # its rank error stays within a quarter of a grid step
+# A sketch's rank error is at most rows / SKETCH_ACCURACY.
+SKETCH_ACCURACY = 10_000
+# Quantiles asked of the first sketch, close around the middle, and of the later ones.
+MIDDLE = tuple(0.5 + side * step for side, step in ((-1, 0.02), (-1, 0.002), (-1, 0.0002), (1, 0.0002), (1, 0.002), (1, 0.02)))
+GRID = tuple(i / 64 for i in range(65))
 
 
 def _batches(columns: Sequence[str], size: int) -> Iterator[list[str]]:
@@ -51,8 +55,9 @@ class _Search:
     between: int = 0
     low: float | None = None
     high: float | None = None
-    grid: list[float] | None = None
-    margin: int = 1
+    fractions: tuple[float, ...] = MIDDLE
+    quantiles: list[float] | None = None
+    margin: int = 0
     answer: float | None = None
     settled: bool = False
 
@@ -60,12 +65,13 @@ class _Search:
         self.answer, self.settled = answer, True
 
     def next_bounds(self) -> tuple[float | None, float | None]:
-        position = (self.rank - self.below) / self.between * GRID
-        first = math.floor(position) - self.margin
-        last = math.ceil(position) + self.margin
+        """The sketched values around the rank, ``margin`` more steps away after a miss."""
+        fraction = (self.rank - self.below) / self.between
+        first = bisect_left(self.fractions, fraction - 1 / SKETCH_ACCURACY) - 1 - self.margin
+        last = bisect_right(self.fractions, fraction + 1 / SKETCH_ACCURACY) + self.margin
         return (
-            self.grid[first] if first > 0 else self.low,
-            self.grid[last] if last < GRID else self.high,
+            self.quantiles[first] if first >= 0 else self.low,
+            self.quantiles[last] if last < len(self.fractions) else self.high,
         )
 
 
@@ -78,18 +84,18 @@ def _between(value: Column, low: float | None, high: float | None) -> Column:
     return test
 
 
-def _counts(value: Column, low: float | None, high: float | None) -> Column:
+def _counts(value: Column, low: float | None, high: float | None, fractions: tuple[float, ...] = GRID) -> Column:
     """Rows below ``low``, at ``low``, between, at ``high``; and quantiles of those between."""
     none = F.lit(0).cast("long")
     between = _between(value, low, high)
-    # as one parsed expression: building 501 literals one by one would dominate short runs
-    grid = F.expr("array(" + ", ".join(f"{i / GRID}D" for i in range(GRID + 1)) + ")")
+    # parsed as one expression, which is quicker than building the literals one by one
+    asked = F.expr("array(" + ", ".join(f"{fraction}D" for fraction in fractions) + ")")
     return F.struct(
         (none if low is None else F.count_if(value < low)).alias("below"),
         (none if low is None else F.count_if(value == low)).alias("at_low"),
         F.count_if(between).alias("between"),
         (none if high is None else F.count_if(value == high)).alias("at_high"),
-        F.percentile_approx(F.when(between, value), grid, SKETCH_ACCURACY).alias("grid"),
+        F.percentile_approx(F.when(between, value), asked, SKETCH_ACCURACY).alias("quantiles"),
     )
 
 
@@ -103,22 +109,28 @@ def exact_median_values(
     df: DataFrame, columns: Sequence[str] | None = None, *, batch_size: int = 50, few_rows: int = 20_000
 ) -> dict[str, float | None]:
     """Lower medians (the value at rank ``ceil(n / 2)``), null for a column without values."""
+    # reads no further than few_rows rows
+    small = len(df.select(F.lit(1)).head(few_rows + 1)) <= few_rows
     found: dict[str, float | None] = {}
     for batch in _batches(columns or df.columns, batch_size):
-        searches = {c: _Search() for c in batch}
-        for c, seen in _one_row(df, {c: _counts(quoted(c), None, None) for c in batch}).items():
-            search = searches[c]
-            search.between, search.grid = seen["between"], seen["grid"]
-            search.rank = math.ceil(search.between / 2)
-            if search.between == 0:
-                search.settle(None)
-        while unsettled := {c: s for c, s in searches.items() if not s.settled and s.between > few_rows}:
-            _close_in(df, unsettled)
-        _pick(df, {c: s for c, s in searches.items() if not s.settled})
-        found.update({c: s.answer for c, s in searches.items()})
+        found.update(_values_in_the_middle(df, batch) if small else _search(df, batch, few_rows))
     return found
 
 
+def _search(df: DataFrame, columns: list[str], few_rows: int) -> dict[str, float | None]:
+    searches = {c: _Search() for c in columns}
+    for c, seen in _one_row(df, {c: _counts(quoted(c), None, None, MIDDLE) for c in columns}).items():
+        search = searches[c]
+        search.between, search.quantiles = seen["between"], seen["quantiles"]
+        search.rank = math.ceil(search.between / 2)
+        if search.between == 0:
+            search.settle(None)
+    while unsettled := {c: s for c, s in searches.items() if not s.settled and s.between > few_rows}:
+        _close_in(df, unsettled)
+    _pick(df, {c: s for c, s in searches.items() if not s.settled})
+    return {c: s.answer for c, s in searches.items()}
+
+
 def _close_in(df: DataFrame, searches: dict[str, _Search]) -> None:
     bounds = {c: search.next_bounds() for c, search in searches.items()}
     seen = _one_row(df, {c: _counts(quoted(c), *bounds[c]) for c in searches})
@@ -129,25 +141,36 @@ def _close_in(df: DataFrame, searches: dict[str, _Search]) -> None:
         if low is not None and counts["below"] < search.rank <= up_to_low:
             search.settle(low)
         elif up_to_low < search.rank <= up_to_between:
-            search.low, search.high, search.grid = low, high, counts["grid"]
-            search.below, search.between, search.margin = up_to_low, counts["between"], 1
+            search.low, search.high, search.below, search.between = low, high, up_to_low, counts["between"]
+            search.fractions, search.quantiles, search.margin = GRID, counts["quantiles"], 0
         elif high is not None and up_to_between < search.rank <= up_to_between + counts["at_high"]:
             search.settle(high)
         else:
-            search.margin *= 4  # the sketch missed by more than the margin: try a wider interval
+            search.margin += 1  # the sketch missed: try a wider interval
+
+
+def _sorted(value: Column) -> Column:
+    return F.sort_array(F.collect_list(value))
 
 
 def _pick(df: DataFrame, searches: dict[str, _Search]) -> None:
+    """Look the rank up among the few values left between the bounds."""
     if not searches:
         return
     values = {
-        c: F.sort_array(F.collect_list(F.when(_between(quoted(c), s.low, s.high), quoted(c))))[s.rank - s.below - 1]
+        c: _sorted(F.when(_between(quoted(c), s.low, s.high), quoted(c)))[s.rank - s.below - 1]
         for c, s in searches.items()
     }
     for c, value in _one_row(df, values).items():
         searches[c].settle(value)
 
 
+def _values_in_the_middle(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Medians of a table of few rows."""
+    middle = {c: F.get(_sorted(quoted(c)), F.floor((F.count(quoted(c)) - 1) / 2).cast("int")) for c in columns}
+    return _one_row(df, middle)
+
+
 def median_table(spark: SparkSession, medians: dict[str, float | None]) -> DataFrame:
     """``column, median`` rows of a dictionary of medians."""
     rows = [(c, None if m is None else float(m)) for c, m in medians.items()]

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from brightloom.functions import payloads as P
 from brightloom.operators import predictions as R
+from brightloom.operators.records import parse_records
 from brightloom.plans.catalogue.registry import Register, rounded, table
-from brightloom.workspace import fresh_path
+from brightloom.workspace import fresh_path, spread
 
 register = Register()
 
@@ -145,12 +146,7 @@ def payload_encode(spark, folder):
 
 @register.query(f"SELECT event_id, message, prediction FROM ({SQL_PARSED})")
 def payload_fallback(spark, folder):
-    source = records(spark, folder)
-    valid = P.parsed(F.col("value")).isNotNull()
-    message, prediction = P.message_and_prediction(F.col("value"))
-    return source.select(
-        "event_id", F.when(valid, message).alias("message"), F.when(valid, prediction).alias("prediction")
-    )
+    return parse_records(spread(records(spark, folder))).select("event_id", "message", "prediction")
 
 
 @register.query(

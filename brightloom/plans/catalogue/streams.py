@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightloom.operators.records import parse_records
 from brightloom.plans.catalogue import messages as M
 from brightloom.plans.catalogue.registry import Register, table
 from brightloom.plans.catalogue.sentiment import SQL_SCORED, by_lang, fitted, prepared
@@ -34,7 +35,7 @@ FIELDS = ("message", "prediction", "event_seconds")
 @register.query(f"SELECT value, status, message, prediction, event_seconds FROM ({M.SQL_PARSED})")
 def stream_parse_payload(spark, folder):
     stream = table_stream(spark, folder, "events").select(F.expr(M.RECORD_RULE).alias("value"))
-    target = run_to_end(S.parse_records(stream), "parsed")
+    target = run_to_end(parse_records(stream), "parsed")
     return spark.read.parquet(target).select("value", "status", *FIELDS)
 
 
@@ -43,14 +44,14 @@ def stream_to_table(spark, folder):
     """From a folder of text files, one record per line."""
     source = fresh_path(spark, "records")
     write_lines(M.records(spark, folder).select("value"), source)
-    target = run_to_end(S.parse_records(S.line_stream(spark, source)), "predictions")
+    target = run_to_end(parse_records(S.line_stream(spark, source)), "predictions")
     return S.stored(spark, target).select(*FIELDS)
 
 
 @register.query(f"SELECT value FROM ({M.SQL_PARSED}) WHERE status = 'broken'")
 def stream_dead_letters(spark, folder):
     stream = table_stream(spark, folder, "events").select(F.expr(M.RECORD_RULE).alias("value"))
-    return S.dead_letters(spark, run_to_end(S.parse_records(stream), "records")).select("value")
+    return S.dead_letters(spark, run_to_end(parse_records(stream), "records")).select("value")
 
 
 @register.query(f"SELECT message, prediction, event_seconds FROM ({M.SQL_PARSED}) WHERE status = 'stored'")
@@ -62,7 +63,7 @@ def stream_restart_no_dups(spark, folder):
     for arriving in (events.where(cheap), events.where(~cheap), None):
         if arriving is not None:
             arriving.select(F.expr(M.RECORD_RULE).alias("value")).write.mode("append").text(source)
-        stream = S.parse_records(S.line_stream(spark, source))
+        stream = parse_records(S.line_stream(spark, source))
         S.finish(S.store(stream, target, f"{target}-checkpoint", available_now=True))
     return S.stored(spark, target).select(*FIELDS)
 

@@ -12,12 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brightloom.functions.payloads import event_seconds, message_and_prediction, parsed
 from brightloom.operators.predictions import has_message
+from brightloom.operators.records import BROKEN, STORED
 from brightloom.plans.text_jobs import score_messages
 
-STORED, BROKEN = "stored", "broken"
-
 
 def line_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.format("text").schema("value string")
@@ -26,20 +24,6 @@ def line_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return reader.load(folder)
 
 
-def parse_records(stream: DataFrame) -> DataFrame:
-    """``value, status, message, prediction, event_seconds``; broken JSON has no fields."""
-    value = F.col("value")
-    valid = parsed(value).isNotNull()
-    message, prediction = message_and_prediction(value)
-    return stream.select(
-        "value",
-        F.when(valid, STORED).otherwise(BROKEN).alias("status"),
-        F.when(valid, message).alias("message"),
-        F.when(valid, prediction).alias("prediction"),
-        event_seconds(value).alias("event_seconds"),
-    )
-
-
 def store(records: DataFrame, path: str, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
     """Write parsed records to a table folder, split by ``status``.
 
