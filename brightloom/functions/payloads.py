@@ -19,13 +19,21 @@ def encode_label(text: Column) -> Column:
     return F.coalesce(F.contains(F.lower(text), F.lit("positive")), F.lit(False)).cast("int")
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970 with microseconds, reading a time without zone as UTC."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    # microseconds below 10^16 are exact in DECIMAL, and print without an exponent
+def _seconds(micros: Column) -> Column:
+    # microseconds below 10^18 are exact in DECIMAL, and print without an exponent
     return (micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970, with microseconds, of a point in time."""
+    return _seconds(F.unix_micros(ts))
+
+
+def epoch_seconds_utc(ts: Column) -> Column:
+    """The same of a time without zone, read as UTC whatever the session's zone is."""
+    return _seconds(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts))
+
+
 def from_epoch_seconds(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
@@ -38,9 +46,8 @@ def run_id(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd_HHmmss")
 
 
-def encode_payload(message: Column, prediction: Column, ts: Column) -> Column:
+def encode_payload(message: Column, prediction: Column, seconds: Column) -> Column:
+    """The JSON record of a prediction made ``seconds`` after 1970."""
     return F.to_json(
-        F.struct(
-            message.alias("message"), prediction.alias("prediction"), epoch_seconds(ts).alias("timestamp")
-        )
+        F.struct(message.alias("message"), prediction.alias("prediction"), seconds.alias("timestamp"))
     )

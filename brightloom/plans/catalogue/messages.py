@@ -140,7 +140,7 @@ def message_rejects(spark, folder):
     f" || lpad(CAST(epoch_us(timestamp) % 1000000 AS VARCHAR), 6, '0') || '}}' AS payload FROM ({SQL_PREDICTIONS})"
 )
 def payload_encode(spark, folder):
-    payload = P.encode_payload(F.col("message"), F.col("prediction"), F.col("timestamp"))
+    payload = P.encode_payload(F.col("message"), F.col("prediction"), P.epoch_seconds_utc(F.col("timestamp")))
     return predictions(spark, folder).select("event_id", payload.alias("payload"))
 
 
@@ -154,7 +154,7 @@ def payload_fallback(spark, folder):
     " strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y%m%d_%H%M%S') AS run FROM events"
 )
 def payload_timestamps(spark, folder):
-    ts, seconds = F.col("ts"), P.epoch_seconds(F.col("ts"))
+    ts, seconds = F.col("ts"), P.epoch_seconds_utc(F.col("ts"))
     return table(spark, folder, "events").select(
         "event_id",
         rounded(seconds.cast("double")).alias("seconds"),

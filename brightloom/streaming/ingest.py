@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brightloom.functions.payloads import encode_payload, epoch_seconds
 from brightloom.operators.predictions import has_message
 from brightloom.operators.records import BROKEN, STORED
 from brightloom.plans.text_jobs import score_messages
+from brightloom.sources.writers import topic_records
 
 
 def line_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -50,6 +52,12 @@ def score_stream(stream: DataFrame, text: str, model) -> DataFrame:
     return score_messages(stream.where(has_message(F.col(text))), text, model)
 
 
+def prediction_records(scored: DataFrame, text: str, prediction: str = "prediction") -> DataFrame:
+    """Scored messages as ``key, value`` records for a topic, timed when they were scored."""
+    now = epoch_seconds(F.current_timestamp())
+    return topic_records(scored, encode_payload(F.col(text), F.col(prediction), now))
+
+
 def batch_folder_writer(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer that repeats safely: a batch replaces its own folder."""
 

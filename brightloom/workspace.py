@@ -46,10 +46,10 @@ def written(df: DataFrame, name: str, *, by: list[str] | None = None) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give row-wise work a partition per core when the scan offers fewer.
+    """Give row-wise work a partition per core when the scan offers no more than half as many.
 
     A scan of a large table already has more splits than cores and passes through
-    untouched, so the extra exchange only ever moves inputs of a few splits.
+    untouched, so the exchange only ever moves inputs of few splits.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
