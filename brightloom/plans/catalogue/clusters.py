@@ -19,7 +19,7 @@ SQL_PART = "SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y FR
 SQL_PART_CENTRES = f"""
     points AS MATERIALIZED ({SQL_PART}),
     centres AS MATERIALIZED (
-        SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS cluster, x AS cx, y AS cy
+        SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INT) AS cluster, x AS cx, y AS cy
         FROM (SELECT * FROM points ORDER BY p_partkey LIMIT 5)),
     assigned AS MATERIALIZED (
         SELECT p_partkey, x, y, cluster, distance FROM (
@@ -30,10 +30,10 @@ SQL_PART_CENTRES = f"""
     """
 SQL_EMBEDDING_CENTRES = """
     points AS MATERIALIZED (
-        SELECT vec_id, unnest(range(0, len(embedding))) AS dimension, CAST(unnest(embedding) AS DOUBLE) AS x
+        SELECT vec_id, CAST(unnest(range(0, len(embedding))) AS INT) AS dimension, CAST(unnest(embedding) AS DOUBLE) AS x
         FROM embeddings),
     keys AS (
-        SELECT vec_id AS centre_id, row_number() OVER (ORDER BY vec_id) - 1 AS cluster
+        SELECT vec_id AS centre_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INT) AS cluster
         FROM (SELECT vec_id FROM embeddings ORDER BY vec_id LIMIT 5)),
     centres AS MATERIALIZED (
         SELECT cluster, dimension, x AS c FROM keys JOIN points ON vec_id = centre_id),

@@ -99,7 +99,7 @@ def sql_over_predictions(spark, folder):
 
 
 @register.query(
-    "SELECT prediction, 2 * count(*) AS messages, 0 AS without_time"
+    "SELECT prediction, 2 * count(*) AS messages, CAST(0 AS BIGINT) AS without_time"
     f" FROM ({SQL_PREDICTIONS}) GROUP BY prediction"
 )
 def append_then_count(spark, folder):

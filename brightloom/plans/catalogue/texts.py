@@ -116,7 +116,7 @@ def numbered_lines(text: Column) -> Column:
 
 
 @register.query(
-    "SELECT CAST(doc_id AS VARCHAR) AS source, n - 1 AS id, lines[n] AS text, CAST(length(lines[n]) > 40 AS INT) AS label"
+    "SELECT CAST(doc_id AS VARCHAR) AS source, CAST(n - 1 AS INT) AS id, lines[n] AS text, CAST(length(lines[n]) > 40 AS INT) AS label"
     " FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS n"
     " FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))"
 )
