@@ -30,8 +30,10 @@ def accuracy_by(df: DataFrame, group: str, label: str = "label", prediction: str
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), _right(label, prediction).alias("accuracy"))
 
 
-def outcome_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
+def outcome_counts(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -48,12 +50,15 @@ def confusion_matrix(
     return every_class.join(seen, "label", "left").na.fill(0).orderBy("label")
 
 
-def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def classification_report(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
     """``class, precision, recall, f1, support`` per class, then accuracy and the two averages.
 
     The accuracy row carries its value in ``f1`` alone. A ratio with a zero denominator is 0.
+    With ``by``, one such report per group, all in one job.
     """
-    counts = outcome_counts(df, label, prediction)
+    counts = outcome_counts(df, label, prediction, by)
     n, hit = F.col("n"), F.col("label") == F.col("prediction")
     shares = F.array(
         F.struct(
@@ -65,7 +70,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
             F.lit(0).cast("long").alias("right"),
         ),
     )
-    per_class = counts.select(F.inline(shares)).groupBy("class").agg(
+    per_class = counts.select(*by, F.inline(shares)).groupBy(*by, "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("right").alias("right")
     )
 
@@ -74,7 +79,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
     right, predicted, support = F.col("right"), F.col("predicted"), F.col("support")
     scored = per_class.select(
-        "class", "support",
+        *by, "class", "support",
         ratio(right, predicted).alias("precision"),
         ratio(right, support).alias("recall"),
         ratio(2 * right, predicted + support).alias("f1"),
@@ -99,7 +104,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     def mean(name: str) -> Column:
         return F.sum(F.col(name) * F.col("weight")) / F.sum("weight")
 
-    return scored.select(F.inline(entries)).groupBy("class").agg(
+    return scored.select(*by, F.inline(entries)).groupBy(*by, "class").agg(
         F.when(F.bool_and("shown"), mean("precision")).alias("precision"),
         F.when(F.bool_and("shown"), mean("recall")).alias("recall"),
         mean("f1").alias("f1"),
@@ -107,13 +112,18 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     )
 
 
-def report_text(report: DataFrame) -> DataFrame:
-    """The report as one text, a line per row, classes before summaries."""
+def report_text(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``accuracy`` and the report as one text, a line per row, classes before summaries."""
     summaries = F.array(*map(F.lit, ("accuracy", "macro avg", "weighted avg")))
     line = F.format_string(
         "%s: precision %s recall %s f1 %s support %d", F.col("class"),
         *(F.coalesce(F.format_number(c, 2), F.lit("-")) for c in ("precision", "recall", "f1")), F.col("support"),
     )
-    lines = report.select(F.array_position(summaries, F.col("class")).alias("place"), F.col("class"), line.alias("line"))
+    lines = report.select(
+        *by, "class", "f1", F.array_position(summaries, F.col("class")).alias("place"), line.alias("line")
+    )
     ordered = F.sort_array(F.collect_list(F.struct("place", "class", "line")))
-    return lines.agg(F.array_join(F.transform(ordered, lambda row: row["line"]), "\n").alias("report"))
+    return lines.groupBy(*by).agg(
+        F.max(F.when(F.col("class") == "accuracy", F.col("f1"))).alias("accuracy"),
+        F.array_join(F.transform(ordered, lambda row: row["line"]), "\n").alias("report"),
+    )

@@ -110,10 +110,42 @@ SQL_REPORT_ROWS = (
 )
 
 
-def report_rows(report: DataFrame) -> DataFrame:
-    return report.select("class", *(rounded(c).alias(c) for c in ("precision", "recall", "f1")), "support")
+def report_rows(report: DataFrame, *by: str) -> DataFrame:
+    return report.select(*by, "class", *(rounded(c).alias(c) for c in ("precision", "recall", "f1")), "support")
 
 
 @register.query(f"WITH {sql_report(SQL_OUTCOMES)} {SQL_REPORT_ROWS}")
 def classification_report(spark, folder):
     return report_rows(M.classification_report(outcomes(spark, folder)))
+
+
+@register.query(
+    f"""
+    WITH outcome AS (SELECT source, label, prediction FROM ({SQL_OUTCOMES}) JOIN documents USING (doc_id)),
+    classes AS (SELECT source, label AS c FROM outcome UNION SELECT source, prediction FROM outcome),
+    tally AS (
+        SELECT classes.source, c,
+            count(*) FILTER (WHERE label = c)::DOUBLE AS support,
+            count(*) FILTER (WHERE prediction = c)::DOUBLE AS predicted,
+            count(*) FILTER (WHERE label = c AND prediction = c)::DOUBLE AS hits
+        FROM classes JOIN outcome ON outcome.source = classes.source GROUP BY classes.source, c),
+    scores AS (
+        SELECT source, c, support, hits,
+            CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted END AS p,
+            CASE WHEN support = 0 THEN 0 ELSE hits / support END AS r,
+            CASE WHEN predicted + support = 0 THEN 0 ELSE 2 * hits / (predicted + support) END AS f
+        FROM tally),
+    report AS (
+        SELECT source, CAST(c AS VARCHAR) AS class, p AS precision, r AS recall, f AS f1, support FROM scores
+        UNION ALL SELECT source, 'accuracy', NULL, NULL, sum(hits) / sum(support), sum(support)
+        FROM scores GROUP BY source
+        UNION ALL SELECT source, 'macro avg', avg(p), avg(r), avg(f), sum(support) FROM scores GROUP BY source
+        UNION ALL SELECT source, 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
+            sum(f * support) / sum(support), sum(support) FROM scores GROUP BY source)
+    {SQL_REPORT_ROWS.replace("SELECT", "SELECT source,", 1)}
+    """
+)
+def report_by_source(spark, folder):
+    sources = table(spark, folder, "documents").select("doc_id", "source")
+    report = M.classification_report(outcomes(spark, folder).join(sources, "doc_id"), by=["source"])
+    return report_rows(report, "source")

@@ -186,7 +186,7 @@ def run_record(spark, folder):
     settings, path = J.TrainingSettings(), fresh_path(spark, "classifier")
     model, report = J.train_and_evaluate(by_lang(spark, folder), "doc_id", "text", "label", settings)
     model.save(spark, path)
-    record = J.run_record(spark, "NAIVE_BAYES", settings, report, path)
+    record = J.run_record("NAIVE_BAYES", settings, report, path)
     lines = F.size(F.split("report", "\n")).cast("long")
     return record.select("name", "alpha", "fit_prior", rounded("accuracy").alias("accuracy"), lines.alias("report_lines"))
 

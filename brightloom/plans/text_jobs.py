@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.functions.payloads import run_id
@@ -67,18 +67,28 @@ def train_and_evaluate(
     return model, classification_report(predict_test(prepared, label, model), label)
 
 
-def run_record(
-    spark: SparkSession, name: str, settings: TrainingSettings, report: DataFrame, model_path: str
-) -> DataFrame:
-    """One row about a run: its id, parameters, accuracy and report. Append it to a table of runs."""
-    accuracy = report.where(F.col("class") == "accuracy").select(F.col("f1").alias("accuracy")).first()[0]
+def run_record(name: str, settings: TrainingSettings, report: DataFrame, model_path: str) -> DataFrame:
+    """One row about a training run: its id, parameters, accuracy and report."""
     return report_text(report).select(
         F.lit(name).alias("name"),
         run_id(F.current_timestamp()).alias("run_id"),
         F.lit(settings.alpha).alias("alpha"),
         F.lit(settings.fit_prior).alias("fit_prior"),
         F.lit(model_path).alias("model_path"),
-        F.lit(accuracy).alias("accuracy"),
+        "accuracy",
+        "report",
+    )
+
+
+def test_records(cases: DataFrame, model: TextClassifier, model_path: str) -> DataFrame:
+    """One row per test-case document: accuracy and report of the model on its messages."""
+    scored = score_messages(cases, "text", model)
+    reports = report_text(classification_report(scored, by=["source"]), by=["source"])
+    return reports.select(
+        F.col("source").alias("test_path"),
+        run_id(F.current_timestamp()).alias("run_id"),
+        F.lit(model_path).alias("model_path"),
+        "accuracy",
         "report",
     )
 

@@ -26,15 +26,14 @@ def read_delimited(spark: SparkSession, path: str, schema: Schema | None = None,
     return reader.csv(path)
 
 
-def read_latin1_csv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
-    """CSV in ISO-8859-1 with doubled quotes and quoted line breaks.
+def read_latin1_csv(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:
+    """CSV in ISO-8859-1 with doubled quotes and quoted line breaks; texts named by the header without a schema.
 
     Quoted line breaks make a file unsplittable: keep such data in many files.
     """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return (
-        spark.read.schema(schema)
-        .options(header=True, encoding="ISO-8859-1", quote='"', escape='"', multiLine=True)
-        .csv(path)
+        reader.options(header=True, encoding="ISO-8859-1", quote='"', escape='"', multiLine=True).csv(path)
     )
 
 

@@ -41,7 +41,7 @@ def test_report_of_a_class_never_predicted(spark):
 
 
 def test_report_text_orders_classes_first(spark):
-    text = M.report_text(M.classification_report(outcomes(spark, [(0, 0), (1, 1)]))).first()[0]
+    text = M.report_text(M.classification_report(outcomes(spark, [(0, 0), (1, 1)]))).first()["report"]
     assert [line.split(":")[0] for line in text.split("\n")] == ["0", "1", "accuracy", "macro avg", "weighted avg"]
 
 

@@ -120,7 +120,7 @@ def test_run_record_and_scoring(spark):
     rows = [(i, "fine film" if i % 2 else "awful plot", i % 2) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, text string, label int")
     model, report = J.train_and_evaluate(df, "id", "text", "label")
-    record = J.run_record(spark, "run", J.TrainingSettings(), report, "somewhere").first()
+    record = J.run_record("run", J.TrainingSettings(), report, "somewhere").first()
     assert record["accuracy"] == 1.0 and record["alpha"] == 1.0 and record["fit_prior"]
     assert len(record["run_id"]) == 15 and "weighted avg" in record["report"]
     messages = spark.createDataFrame([("A FINE film!!",), ("@you awful",)], "message string")
