@@ -11,14 +11,11 @@ import math
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.classification import NaiveBayesModel as FittedBayes
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from brightloom.operators.features import TOKENS, WEIGHTS, TfidfModel
 
@@ -52,9 +49,8 @@ class TextClassifier:
         ``fit_prior``. Spark's own estimator smooths priors, so only its term likelihoods
         are used.
         """
-        spark = tokenised.sparkSession
         counts = class_counts(tokenised, label)
-        found = sorted(counts.limit(MAX_CLASSES + 1).collect(), key=lambda row: row["label"])
+        found = counts.orderBy("label").limit(MAX_CLASSES + 1).collect()
         if not found:
             raise ValueError("no labelled documents to fit on")
         if len(found) > MAX_CLASSES:
@@ -111,27 +107,24 @@ class TextClassifier:
         )
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.features.pipeline.write().overwrite().save(f"{path}/features")
-        self.bayes.write().overwrite().save(f"{path}/likelihoods")
+        """A Parquet table of terms, one of priors, and the likelihoods in Spark's model format."""
+        self.features.term_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
         self.priors(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/priors")
+        self.bayes.write().overwrite().save(f"{path}/likelihoods")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextClassifier:
-        pipeline = PipelineModel.load(f"{path}/features")
-        counter, scaler = pipeline.stages[:2]
-        assert isinstance(counter, CountVectorizerModel) and isinstance(scaler, ElementwiseProduct)
-        features = TfidfModel(counter.vocabulary, scaler.getScalingVec().toArray().tolist(), pipeline)
+        terms = spark.read.parquet(f"{path}/terms").orderBy("term_index").collect()
         priors = spark.read.parquet(f"{path}/priors")
-        rows = sorted(priors.collect(), key=lambda row: row["label"])
+        rows = priors.orderBy("label").collect()
         return cls(
-            features, FittedBayes.load(f"{path}/likelihoods"), [r["label"] for r in rows],
-            [r["log_prior"] for r in rows], _label_type(priors.schema),
+            TfidfModel.of([row["term"] for row in terms], [row["idf"] for row in terms]),
+            FittedBayes.load(f"{path}/likelihoods"),
+            [row["label"] for row in rows],
+            [row["log_prior"] for row in rows],
+            priors.schema["label"].dataType.simpleString(),
         )
 
 
-def _label_type(schema: StructType) -> str:
-    return schema["label"].dataType.simpleString()
-
-
 def _listed(values: list) -> Column:
     return F.array(*map(F.lit, values))

@@ -110,7 +110,7 @@ def silhouette(clustered: DataFrame, features: str = FEATURES, cluster: str = CL
 
 
 def sweep(
-    vectors: DataFrame, ks: Iterable[int] = SWEEP, *, with_silhouette: bool = False, seed: int = SEED, parallelism: int = 4
+    vectors: DataFrame, ks: Iterable[int] = SWEEP, *, with_silhouette: bool = False, seed: int = SEED, parallelism: int = 8
 ) -> DataFrame:
     """``k, cost`` and optionally ``silhouette`` for each number of clusters.
 

@@ -42,14 +42,20 @@ def fill_zero(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.na.fill(0.0, subset=list(columns) if columns is not None else None)
 
 
+def _as_double(df: DataFrame, name: str) -> Column:
+    value = quoted(name)
+    if isinstance(df.schema[name].dataType, StringType):
+        # a failing cast raises and catches an exception per value: skip what cannot be a number
+        value = F.when(value.rlike("(?i)[0-9]|nan|inf"), value)
+    return value.try_cast("double").alias(name)
+
+
 def coerce_double(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Cast to double, null where a text is no number. By default only string columns."""
     if columns is None:
         columns = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     chosen = set(columns)
-    return df.select(
-        *(quoted(c).try_cast("double").alias(c) if c in chosen else quoted(c) for c in df.columns)
-    )
+    return df.select(*(_as_double(df, c) if c in chosen else quoted(c) for c in df.columns))
 
 
 def replace_outliers(

@@ -46,6 +46,15 @@ def test_coerce_double(gappy):
     assert dict(C.coerce_double(gappy, gappy.columns).dtypes) == dict.fromkeys(gappy.columns, "double")
 
 
+def test_coerce_texts_that_look_odd(spark):
+    texts = ["1e3", " 2 ", "-.5", "NaN", "Infinity", "-inf", "abc", "", "1,5", "0x10", "info", None, "5 g"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    found = [r["v"] for r in C.coerce_double(df).orderBy("i").collect()]
+    plain = [r["v"] for r in df.selectExpr("i", "try_cast(v AS double) AS v").orderBy("i").collect()]
+    assert repr(found) == repr(plain)
+    assert found[:3] == [1000.0, 2.0, -0.5] and found[6] is None
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 1000.0, -0.1, 1000.1, None, 5.0)], "v double")
     assert [row[0] for row in values(C.replace_outliers(df, {"v": 7.0}))] == [0.0, 1000.0, 7.0, 7.0, None, 5.0]
