@@ -15,9 +15,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from brightloom.functions.payloads import decode_label
+from brightloom.functions.stopwords import ENGLISH
 from brightloom.operators.bayes import TextClassifier
 from brightloom.operators.clusters import DEFAULT_K, assembled, assign_clusters, sweep
 from brightloom.operators.columns import coerce_double, fill_zero, numeric_only
+from brightloom.operators.features import MAX_FEATURES
 from brightloom.operators.predictions import split_rejects
 from brightloom.operators.wordcount import SINGLE_SPACE, WHITESPACE_RUN
 from brightloom.plans import table_jobs, text_jobs
@@ -67,7 +69,13 @@ def train_text(spark: SparkSession, args: argparse.Namespace) -> None:
     labelled = read_latin1_csv(spark, args.input).select(
         F.md5(F.coalesce(TEXT, F.lit(""))).alias("key"), TEXT, F.col(LABEL).try_cast("int").alias(LABEL)
     )
-    settings = text_jobs.TrainingSettings(alpha=args.alpha, fit_prior=not args.uniform_prior, fit_scope=args.fit_scope)
+    stop_words = ENGLISH
+    if args.stop_words is not None:
+        stop_words = tuple(row["value"].strip() for row in read_lines(spark, args.stop_words).collect())
+    settings = text_jobs.TrainingSettings(
+        alpha=args.alpha, fit_prior=not args.uniform_prior, max_features=args.max_features,
+        stop_words=stop_words, fit_scope=args.fit_scope,
+    )
     model, report = text_jobs.train_and_evaluate(labelled, "key", TEXT, LABEL, settings)
     model.save(spark, args.model)
     record = text_jobs.run_record("NAIVE_BAYES", settings, report, args.model)
@@ -128,6 +136,8 @@ def parser() -> argparse.ArgumentParser:
     text.add_argument("--runs", required=True, help="folder that collects run records")
     text.add_argument("--alpha", type=float, default=1.0)
     text.add_argument("--uniform-prior", action="store_true")
+    text.add_argument("--max-features", type=int, default=MAX_FEATURES)
+    text.add_argument("--stop-words", help="file with a word per line instead of the default list")
     text.add_argument("--fit-scope", choices=("train", "all"), default="train")
 
     score = command(score_text)

@@ -29,6 +29,25 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+def class_priors(df: DataFrame, label: str, fit_prior: bool = True) -> DataFrame:
+    """``label, log_prior`` in label order: a class's plain share of the documents, or uniform."""
+    # one row more than allowed is enough to notice a column that is no label
+    counts = class_counts(df, label).orderBy("label").limit(MAX_CLASSES + 1)
+    found = counts.collect()
+    if not found:
+        raise ValueError("no labelled documents to fit on")
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values; is it a label?")
+    total = sum(row["documents"] for row in found)
+    shares = [row["documents"] / total if fit_prior else 1 / len(found) for row in found]
+    rows = [(row["label"], math.log(share)) for row, share in zip(found, shares)]
+    return df.sparkSession.createDataFrame(rows, _prior_schema(counts))
+
+
+def _prior_schema(df: DataFrame) -> str:
+    return f"label {df.schema['label'].dataType.simpleString()}, log_prior double"
+
+
 @dataclass(frozen=True)
 class TextClassifier:
     """Vocabulary, class priors and term likelihoods of a fitted classifier."""
@@ -49,15 +68,9 @@ class TextClassifier:
         ``fit_prior``. Spark's own estimator smooths priors, so only its term likelihoods
         are used.
         """
-        counts = class_counts(tokenised, label)
-        found = counts.orderBy("label").limit(MAX_CLASSES + 1).collect()
-        if not found:
-            raise ValueError("no labelled documents to fit on")
-        if len(found) > MAX_CLASSES:
-            raise ValueError(f"{label} has more than {MAX_CLASSES} values; is it a label?")
-        labels = [row["label"] for row in found]
-        total = sum(row["documents"] for row in found)
-        shares = [row["documents"] / total if fit_prior else 1 / len(found) for row in found]
+        priors = class_priors(tokenised, label, fit_prior)
+        rows = priors.collect()
+        labels = [row["label"] for row in rows]
 
         indexed = F.array_position(_listed(labels), F.col(label)) - 1
         training = (
@@ -68,8 +81,11 @@ class TextClassifier:
             smoothing=alpha, modelType="multinomial", featuresCol=WEIGHTS, labelCol=_INDEX,
             predictionCol="", probabilityCol="", rawPredictionCol=_RAW,
         )
-        kind = counts.schema["label"].dataType.simpleString()
-        return cls(features, estimator.fit(training), labels, [math.log(s) for s in shares], kind)
+        kind = priors.schema["label"].dataType.simpleString()
+        return cls(features, estimator.fit(training), labels, [row["log_prior"] for row in rows], kind)
+
+    def _classes(self) -> Column:
+        return _listed(self.labels).cast(f"array<{self.label_type}>")
 
     def log_scores(self, tokenised: DataFrame) -> DataFrame:
         """Add ``scores``: prior plus weighted likelihoods, one value per class in label order."""
@@ -83,13 +99,13 @@ class TextClassifier:
         """Long form: the other columns with ``label, score`` per class."""
         scored = self.log_scores(tokenised)
         kept = [c for c in scored.columns if c != "scores"]
-        pairs = F.arrays_zip(_listed(self.labels).alias("label"), F.col("scores").alias("score"))
+        pairs = F.arrays_zip(self._classes().alias("label"), F.col("scores").alias("score"))
         return scored.select(*kept, F.inline(pairs))
 
     def predict(self, tokenised: DataFrame, output: str = "prediction") -> DataFrame:
         """Add the label of the largest score, the lowest such label on a tie."""
         scores = F.col("scores")
-        best = F.element_at(_listed(self.labels), F.array_position(scores, F.array_max(scores)).cast("int"))
+        best = F.element_at(self._classes(), F.array_position(scores, F.array_max(scores)).cast("int"))
         return self.log_scores(tokenised).withColumn(output, best).drop("scores")
 
     def priors(self, spark: SparkSession) -> DataFrame:

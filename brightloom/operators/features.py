@@ -20,6 +20,7 @@ from brightloom.functions.stopwords import ENGLISH
 from brightloom.functions.text import clean_text, tokens
 
 MAX_FEATURES = 5000
+BROADCAST_TERMS = 1_000_000  # a vocabulary of up to some tens of megabytes
 TOKENS, COUNTS, WEIGHTED, WEIGHTS = "tokens", "term_counts", "weighted_counts", "features"
 
 
@@ -105,7 +106,9 @@ class TfidfModel:
         kept = [c for c in vectors.columns if c != WEIGHTS]
         vector = F.unwrap_udt(WEIGHTS)
         entries = F.arrays_zip(vector["indices"].alias("term_index"), vector["values"].alias("weight"))
-        names = F.broadcast(self.term_table(tokenised.sparkSession).select("term_index", "term"))
+        names = self.term_table(tokenised.sparkSession).select("term_index", "term")
+        if len(self.terms) <= BROADCAST_TERMS:
+            names = F.broadcast(names)
         return (
             vectors.select(*kept, F.inline(entries))
             .join(names, "term_index")

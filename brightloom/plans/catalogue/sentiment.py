@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.operators.bayes import TextClassifier
+from brightloom.operators.bayes import TextClassifier, class_priors
 from brightloom.operators.features import TfidfModel, vocabulary, with_idf, with_tokens
 from brightloom.operators.splits import TRAIN, train_test_split as split_rows
 from brightloom.plans import text_jobs as J
@@ -137,8 +137,8 @@ def fitted(split: DataFrame) -> TextClassifier:
 
 @register.query(f"{SQL_BY_QUALITY} SELECT label, round(log_prior, 6) AS log_prior FROM priors")
 def nb_priors(spark, folder):
-    priors = fitted(prepared(by_quality(spark, folder))).priors(spark)
-    return priors.select("label", rounded("log_prior").alias("log_prior"))
+    training = split_rows(by_quality(spark, folder), "doc_id").where(F.col("split") == TRAIN)
+    return class_priors(training, "label").select("label", rounded("log_prior").alias("log_prior"))
 
 
 @register.query(f"{SQL_BY_QUALITY} SELECT label, term, round(theta, 6) AS theta FROM theta")

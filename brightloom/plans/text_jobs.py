@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from brightloom.functions.payloads import run_id
 from brightloom.functions.stopwords import ENGLISH
 from brightloom.operators.bayes import TextClassifier
+from brightloom.operators.columns import quoted
 from brightloom.operators.features import MAX_FEATURES, TfidfModel, with_tokens
 from brightloom.operators.metrics import classification_report, report_text
 from brightloom.operators.splits import TEST, TRAIN, train_test_split
@@ -95,5 +96,7 @@ def test_records(cases: DataFrame, model: TextClassifier, model_path: str) -> Da
 
 def score_messages(messages: DataFrame, text: str, model: TextClassifier, output: str = "prediction") -> DataFrame:
     """Add a prediction to every message, batch or streaming; row-wise, so nothing is shuffled."""
-    tokenised = with_tokens(messages.withColumn("_text", F.col(text)), "_text")
-    return model.predict(tokenised, output)
+    # the message travels as one column, so that its column names can be any
+    packed = messages.select(F.struct(*map(quoted, messages.columns)).alias("_message"), quoted(text).alias("_text"))
+    scored = model.predict(with_tokens(packed, "_text"), "_predicted")
+    return scored.select("_message.*", F.col("_predicted").alias(output))

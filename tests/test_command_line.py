@@ -36,8 +36,12 @@ def test_text_jobs(spark, tmp_path):
     (tmp_path / "messages.txt").write_text("a joyful day\n\ndreadful\n")
     model, runs, tests, out, rejects = (str(tmp_path / n) for n in ("model", "runs", "tests", "out", "rejects"))
 
-    for _ in range(2):
-        main(["train-text", "-i", str(tmp_path / "data.csv"), "--model", model, "--runs", runs, "--alpha", "0.5"])
+    (tmp_path / "stop.txt").write_text("café\nthe\n")
+    train = ["train-text", "-i", str(tmp_path / "data.csv"), "--model", model, "--runs", runs, "--alpha", "0.5"]
+    for more in ([], ["--stop-words", str(tmp_path / "stop.txt")]):
+        main(train + more)
+    terms = {row["term"] for row in spark.read.parquet(model + "/terms").collect()}
+    assert "joyful" in terms and "café" not in terms
     records = spark.read.json(runs).collect()
     assert len(records) == 2 and records[0]["accuracy"] == 1.0 and records[0]["alpha"] == 0.5
 

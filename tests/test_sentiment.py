@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from brightloom.operators.bayes import TextClassifier
+from brightloom.operators.bayes import TextClassifier, class_priors
 from brightloom.operators.features import TfidfModel, term_statistics, vocabulary
 from brightloom.operators.splits import split_of
 from brightloom.plans import text_jobs as J
@@ -87,6 +87,11 @@ def test_unusable_training_data(spark, tokenised):
         TextClassifier.fit(tokenised.where("label is null"), "label", TfidfModel.of(["a"], [1.0]))
 
 
+def test_priors_refuse_what_is_no_label(spark):
+    with pytest.raises(ValueError, match="is it a label"):
+        class_priors(spark.range(2000), "id")
+
+
 def test_save_and_load(spark, tokenised):
     model = TextClassifier.fit(tokenised, "label", TfidfModel.fit(tokenised))
     path = fresh_path(spark, "model")
@@ -133,3 +138,13 @@ def test_scoring_needs_no_shuffle(spark, tokenised):
     messages = spark.range(10).select(F.lit("good film").alias("message"))
     plan = J.score_messages(messages, "message", model)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_any_column_names_and_label_types(spark):
+    df = spark.createDataFrame([(i, ["odd" if i % 2 else "even"]) for i in range(20)], "id int, tokens array<string>")
+    df = df.select(F.when(F.col("id") % 2 == 1, F.lit(7)).otherwise(9).cast("long").alias("label"), "tokens")
+    model = TextClassifier.fit(df, "label", TfidfModel.fit(df, stop_words=[]))
+    messages = spark.createDataFrame([("odd", 1, 2, 3, 4)], "text string, tokens int, features int, scores int, `a.b` int")
+    scored = J.score_messages(messages, "text", model)
+    assert dict(scored.dtypes)["prediction"] == "bigint"
+    assert tuple(scored.first()) == ("odd", 1, 2, 3, 4, 7)
