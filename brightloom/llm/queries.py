@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.llm.mixing import mix, rates
+from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
+from brightloom.llm.tokens import token_counts
 from brightloom.plans.catalogue.registry import Register, table
 
 register = Register()
 
 N_SHARDS = 40
 
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 #: 60 bits of a text's md5
 _BITS = "('0x' || substr(md5({}), 1, 15))::BIGINT"
 SQL_CRC = """crcs AS (
@@ -66,3 +74,28 @@ def op2_mixing(spark, folder):
     documents = table(spark, folder, "documents")
     mixed = mix(documents, rates(documents, temperature=0.7))
     return mixed.select("doc_id", "source", F.round("rate", 9).alias("rate"), "n_copies", "copy", "position")
+
+
+@register.query()
+def op8_private_data(spark, folder):
+    """Personal data in every whole text."""
+    found = private_spans(table(spark, folder, "documents"))
+    of = {kind: F.filter("spans", lambda s, kind=kind: s["kind"] == kind) for kind in BASE}
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id",
+        *(F.size(of[kind]).cast("long").alias(f"n_{kind}") for kind in BASE),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+TOKEN_LIMIT = 1024
+
+
+@register.query()
+def op10_token_counts(spark, folder, tokenizer=None):
+    """Tokens of every whole text, and the longest prefix that keeps the limit."""
+    path = tokenizer or tokenizer_path("byte_bpe_50k.json")
+    counted = token_counts(table(spark, folder, "documents"), path, TOKEN_LIMIT)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
