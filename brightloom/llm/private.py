@@ -18,9 +18,8 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from brightloom.llm.textkit import field, map_texts
+from brightloom.llm.textkit import keyed, map_texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "account", "street")
@@ -119,7 +118,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
 
 def private_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, spans``: kind, start and end of everything found in each whole text."""
-    schema = T.StructType([field(docs, key)]).add("spans", SPANS)
+    schema = keyed(docs, [key], f"spans {SPANS}")
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:
         for at in range(0, len(texts), 512):
@@ -138,7 +137,7 @@ def joined(of: Column) -> Column:
 
 def redacted(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, text``: every span replaced by its kind in brackets; of overlapping ones the first stays."""
-    schema = T.StructType([field(docs, key)]).add(text, "string")
+    schema = keyed(docs, [key], f"`{text}` string")
 
     def mask(value: str) -> str:
         out, at = [], 0

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brightloom.llm import decontaminate, quality, toxicity
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
 from brightloom.llm.tokens import token_counts
 from brightloom.plans.catalogue.registry import Register, table
+from brightloom.workspace import written
 
 register = Register()
 
@@ -99,3 +101,38 @@ def op10_token_counts(spark, folder, tokenizer=None):
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     counted = token_counts(table(spark, folder, "documents"), path, TOKEN_LIMIT)
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@register.query()
+def op4_quality_rules(spark, folder):
+    """Counts of every whole text, and the verdict of rules learned from the quality labels."""
+    counts = written(quality.text_counts(table(spark, folder, "documents")), "quality-counts")
+    rules = quality.learn_rules(counts, table(spark, folder, "labels"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality.judged(counts, rules).select(*columns)
+
+
+def held_out(parts: int, remainder: int):
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts == remainder
+
+
+@register.query()
+def op6_toxicity(spark, folder):
+    """Toxicity of every whole text; labels of a fifth of the documents are never seen."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.learn(documents, labels.where(~held_out(5, 0)))
+    return toxicity.scored(documents, model).select(
+        "doc_id",
+        held_out(5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@register.query()
+def op7_decontamination(spark, folder):
+    """Words of every document inside benchmark windows."""
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.judged(found).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    )

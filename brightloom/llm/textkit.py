@@ -6,13 +6,16 @@ own, so memory is bounded by the longest text. Null texts count as empty ones.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK_BYTES = 2_000_000
 SPACE = 32
@@ -136,6 +139,18 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
         row = end
 
 
+def import_here(df: DataFrame) -> None:
+    """Let Python workers of this machine find the package where the driver found it.
+
+    A cluster gets the package by ``--py-files`` or installed; a path that is not there does no harm.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
 def map_texts(
     docs: DataFrame,
     keys: list[str],
@@ -148,9 +163,8 @@ def map_texts(
     Only the named columns are read, so further columns of any name are of no matter.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(schema)
+    import_here(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,6 +186,11 @@ def field(df: DataFrame, name: str) -> T.StructField:
     return T.StructField(name, df.schema[name].dataType)
 
 
+def keyed(df: DataFrame, keys: list[str], ddl: str) -> T.StructType:
+    """The schema of some columns of a table and then those of ``ddl``."""
+    return T.StructType([*(field(df, k) for k in keys), *T.StructType.fromDDL(ddl).fields])
+
+
 def lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """An array of lists from flat values and where each list begins."""
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))

@@ -21,9 +21,8 @@ from itertools import accumulate
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from brightloom.llm.textkit import field, map_texts
+from brightloom.llm.textkit import keyed, map_texts
 
 REMEMBERED_PIECES = 1_000_000
 DOCS_AT_A_TIME = 256
@@ -127,8 +126,7 @@ class PrefixCounter:
 
 def prefix_table(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_tokens, ends, counts``: the safe prefixes of each text in characters and their tokens."""
-    schema = T.StructType([field(docs, key)]).add("n_tokens", "long")
-    schema = schema.add("ends", "array<int>").add("counts", "array<int>")
+    schema = keyed(docs, [key], "n_tokens long, ends array<int>, counts array<int>")
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:
         counter = PrefixCounter.of(path)
@@ -144,9 +142,7 @@ def token_counts(
     docs: DataFrame, path: str, budget: int, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``key, n_bytes, n_tokens, fitting_chars``: the last column is the longest prefix within the budget."""
-    schema = T.StructType([field(docs, key)])
-    for name in ("n_bytes", "n_tokens", "fitting_chars"):
-        schema = schema.add(name, "long")
+    schema = keyed(docs, [key], "n_bytes long, n_tokens long, fitting_chars long")
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:
         counter = PrefixCounter.of(path)
