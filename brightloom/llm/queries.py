@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brightloom.llm import decontaminate, quality, toxicity
+from brightloom.llm import decontaminate, jaccard, quality, toxicity
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
@@ -136,3 +136,10 @@ def op7_decontamination(spark, folder):
     return decontaminate.judged(found).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
+
+
+@register.query()
+def op5_near_duplicates(spark, folder):
+    """Components of documents whose five-word shingles have a similarity of 0.8 or more."""
+    found = jaccard.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumnRenamed("component", "component_id")

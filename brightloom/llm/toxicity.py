@@ -81,14 +81,20 @@ def fit(
     bounds: np.ndarray,
     toxic: np.ndarray,
     *,
-    epochs: int = 8,
-    rate: float = 0.1,
-    penalty: float = 2e-4,
+    linear_epochs: int = 20,
+    epochs: int = 10,
+    rate: float = 0.2,
+    penalty: float = 2e-3,
+    shrinkage: float = 5e-2,
     least_docs: int = 3,
     seed: int = 7,
     batch: int = 64,
 ) -> FactorizationMachine:
-    """Fit by mini-batches; the penalty shrinks weights to zero, so that chance terms drop out."""
+    """Fit by mini-batches: the weights alone at first, then weights and vectors together.
+
+    The penalty shrinks weights to zero, so that chance terms drop out; only terms that keep a
+    weight after the first part get a vector.
+    """
     random = np.random.Generator(np.random.PCG64(seed))
     size = 1 << SLOT_BITS
     n = len(bounds) - 1
@@ -100,43 +106,61 @@ def fit(
     slots, docs = slots[frequent], docs[frequent]
     # terms are renumbered, so that a step costs what its documents hold
     used, terms = np.unique(slots, return_inverse=True)
-    edges = np.searchsorted(docs, np.arange(n + 1))
-    w, v = np.zeros(len(used)), random.normal(0, 0.01, (len(used), FACTORS))
-    seen_w, seen_v, seen_0 = np.full(len(used), 1e-2), np.full(v.shape, 1e-2), 1e-2
     share = np.clip(toxic.mean(), 1e-3, 1 - 1e-3)
-    intercept = float(np.log(share / (1 - share)))
-    for _ in range(epochs):
+    state = _State(float(np.log(share / (1 - share))), np.zeros(len(used)), np.zeros((len(used), FACTORS)))
+    for epoch in range(linear_epochs + epochs):
+        if epoch == linear_epochs:
+            kept = state.w != 0
+            state.v[kept] = random.normal(0, 0.05, (kept.sum(), FACTORS))
+            in_use = kept[terms]
+            terms, docs = terms[in_use], docs[in_use]
+        edges = np.searchsorted(docs, np.arange(n + 1))
         order = random.permutation(n)
         for at in range(0, n, batch):
             chosen = order[at : at + batch]
             lengths = edges[chosen + 1] - edges[chosen]
-            flat = np.repeat(edges[chosen] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum())
-            row, term = np.repeat(np.arange(len(chosen)), lengths), terms[flat]
-            sums = np.stack([np.bincount(row, v[term, f], len(chosen)) for f in range(FACTORS)], axis=1)
-            squares = np.bincount(row, (v[term] ** 2).sum(axis=1), len(chosen))
-            z = intercept + np.bincount(row, w[term], len(chosen)) + 0.5 * ((sums**2).sum(axis=1) - squares)
-            error = sigmoid(z) - toxic[chosen]
-            touched, local = np.unique(term, return_inverse=True)
-            g = np.bincount(local, error[row], len(touched)) / len(chosen)
-            seen_w[touched] += g * g
-            step = rate / np.sqrt(seen_w[touched])
-            moved = w[touched] - step * g
-            w[touched] = np.sign(moved) * np.maximum(np.abs(moved) - step * penalty, 0)
-            pull = error[row, None] * (sums[row] - v[term])
-            for f in range(FACTORS):
-                gf = np.bincount(local, pull[:, f], len(touched)) / len(chosen) + penalty * v[touched, f]
-                seen_v[touched, f] += gf * gf
-                v[touched, f] -= 0.5 * rate * gf / np.sqrt(seen_v[touched, f])
-            g0 = float(error.mean())
-            seen_0 += g0 * g0
-            intercept -= rate * g0 / np.sqrt(seen_0)
-    model.intercept = intercept
-    model.weights[used] = w
-    # vectors of terms whose weight fell to zero are noise of the start
-    model.factors[used] = np.where((w != 0)[:, None], v, 0.0)
+            first = edges[chosen] - np.cumsum(lengths) + lengths
+            flat = np.repeat(first, lengths) + np.arange(lengths.sum())
+            row = np.repeat(np.arange(len(chosen)), lengths)
+            state.step(row, terms[flat], toxic[chosen], rate, penalty, shrinkage, pairs=epoch >= linear_epochs)
+    model.intercept = state.intercept
+    model.weights[used] = state.w
+    model.factors[used] = state.v
     return model
 
 
+class _State:
+    """Parameters and the sums of their squared gradients."""
+
+    def __init__(self, intercept: float, w: np.ndarray, v: np.ndarray):
+        self.intercept, self.w, self.v = intercept, w, v
+        self.seen_0, self.seen_w, self.seen_v = 1e-2, np.full(w.shape, 1e-3), np.full(v.shape, 1e-3)
+
+    def step(self, row, term, toxic, rate: float, penalty: float, shrinkage: float, pairs: bool) -> None:
+        m = len(toxic)
+        z = self.intercept + np.bincount(row, self.w[term], m)
+        if pairs:
+            sums = np.stack([np.bincount(row, self.v[term, f], m) for f in range(FACTORS)], axis=1)
+            squares = np.bincount(row, (self.v[term] ** 2).sum(axis=1), m)
+            z += 0.5 * ((sums**2).sum(axis=1) - squares)
+        error = sigmoid(z) - toxic
+        touched, local = np.unique(term, return_inverse=True)
+        g = np.bincount(local, error[row], len(touched)) / m
+        self.seen_w[touched] += g * g
+        pace = rate / np.sqrt(self.seen_w[touched])
+        moved = self.w[touched] - pace * g
+        self.w[touched] = np.sign(moved) * np.maximum(np.abs(moved) - pace * penalty, 0)
+        if pairs:
+            pull = error[row, None] * (sums[row] - self.v[term])
+            for f in range(FACTORS):
+                gf = np.bincount(local, pull[:, f], len(touched)) / m + shrinkage * self.v[touched, f]
+                self.seen_v[touched, f] += gf * gf
+                self.v[touched, f] -= 0.2 * rate * gf / np.sqrt(self.seen_v[touched, f])
+        g0 = float(error.mean())
+        self.seen_0 += g0 * g0
+        self.intercept -= rate * g0 / np.sqrt(self.seen_0)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", *, key: str = "doc_id", text: str = "text", most_labels: int = MOST_LABELS
 ) -> FactorizationMachine:
