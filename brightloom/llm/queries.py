@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brightloom.llm import decontaminate, jaccard, quality, toxicity
+from brightloom.llm import decontaminate, jaccard, quality, scoring, toxicity
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
@@ -82,12 +82,14 @@ def op2_mixing(spark, folder):
 def op8_private_data(spark, folder):
     """Personal data in every whole text."""
     found = private_spans(table(spark, folder, "documents"))
-    of = {kind: F.filter("spans", lambda s, kind=kind: s["kind"] == kind) for kind in BASE}
-    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
     return found.select(
         "doc_id",
-        *(F.size(of[kind]).cast("long").alias(f"n_{kind}") for kind in BASE),
-        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in BASE),
+        F.sha2(joined(of(*BASE)).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
 
@@ -143,3 +145,19 @@ def op5_near_duplicates(spark, folder):
     """Components of documents whose five-word shingles have a similarity of 0.8 or more."""
     found = jaccard.near_duplicates(table(spark, folder, "documents"))
     return found.withColumnRenamed("component", "component_id")
+
+
+@register.query()
+def op9_language_model(spark, folder):
+    """Log-probability of every whole text; a seventh of the documents never trains."""
+    scored, sums = scoring.scored(table(spark, folder, "documents"), ~held_out(7, 2))
+    return scored.select(
+        "doc_id",
+        held_out(7, 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(int(sums["customers"])).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "spelled_score",
+    )
