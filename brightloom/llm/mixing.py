@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.llm.numbering import fraction, hash_of, n_cells, numbered
+from brightloom.llm.numbering import fraction, hash_of, joined_by_source, n_cells, numbered
 
 ROW_BYTES = 16
 
@@ -82,8 +82,11 @@ def mix(
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     drawn = (
         docs.select(*kept, _source(source).alias("_source"), crc.alias("_crc"))
-        .join(distributions(rate), "_source")
-        .withColumn("_uniform", fraction(hash_of(seed, "copies", F.col(key), F.col("_crc"))))
+        .withColumn("_draw", hash_of(seed, "copies", F.col(key), F.col("_crc")))
+    )
+    drawn = (
+        joined_by_source(drawn, distributions(rate), F.col("_draw"))
+        .withColumn("_uniform", fraction(F.col("_draw")))
         .withColumn("n_copies", F.size(F.expr("filter(_steps, s -> s <= _uniform)")))
         .where("n_copies > 0")
         .select(*kept, "rate", "n_copies", "_crc", F.explode(F.expr("sequence(1, n_copies)")).alias("copy"))

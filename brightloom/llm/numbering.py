@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CELLS_PER_PARTITION = 8
+SALTS = 128
 HASH_BITS = 60
 
 
@@ -45,3 +46,10 @@ def numbered(df: DataFrame, name: str, group: list[str], cell: str, order: list[
     )
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.join(begins, keys).withColumn(name, F.col("_begins") + inside - 1).drop("_begins")
+
+
+def joined_by_source(rows: DataFrame, sources: DataFrame, bits: Column) -> DataFrame:
+    """Rows with the columns of their ``_source``; a source of any size is dealt out over ``SALTS`` keys."""
+    salted = rows.withColumn("_salt", bits % SALTS)
+    every = sources.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(every, ["_source", "_salt"]).drop("_salt")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.llm.numbering import fraction, hash_of, n_cells, numbered
+from brightloom.llm.numbering import fraction, hash_of, joined_by_source, n_cells, numbered
 from brightloom.workspace import written
 
 ROW_BYTES = 16
@@ -57,7 +57,7 @@ def shards(
     per_cell = max(1.0, total / cells)
     sources = rows.groupBy("_source").agg(F.count("*").alias("_in_source"))
     own_cell = F.floor(fraction(F.col("_hash")) * F.ceil(F.col("_in_source") / F.lit(per_cell)))
-    placed = rows.join(sources, "_source").withColumn("_cell", own_cell)
+    placed = joined_by_source(rows, sources, F.col("_hash")).withColumn("_cell", own_cell)
     ranked = numbered(placed, "_rank", ["_source"], "_cell", ["_hash", "_key", "_crc", "_size"]).drop("_cell")
     middle = (2 * F.col("_rank") + 1).cast("double") / (2 * F.col("_in_source")).cast("double")
     spread = written(ranked.withColumn("_middle", middle), "shard-ranks")
