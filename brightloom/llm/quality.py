@@ -1,7 +1,6 @@
 """Quality rules learned from labels: decision lists by sequential covering.
 
-One pass over the whole texts gives a narrow table of counts per document. On the labelled rows of a
-bounded sample, rules are grown one threshold at a time by information gain over a part of the rows,
+One pass over the whole texts gives counts per document. On the labelled rows of a bounded sample, rules are grown one threshold at a time by information gain over a part of the rows,
 pruned on the others, and kept while they are precise; the rows a rule covers leave before the next
 is grown. The list is plain text and becomes one ordered conditional expression of Spark columns.
 
@@ -239,7 +238,13 @@ def decision_list(
 
 
 def learn_rules(
-    counts: DataFrame, labels: DataFrame, label: str = "quality", *, key: str = "doc_id", most_labels: int = 20_000
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    most_labels: int = 20_000,
 ) -> list[Rule]:
     """Rules from at most ``most_labels`` labelled rows, chosen by the hash of their keys; label 0 is bad."""
     sample = (
@@ -248,11 +253,14 @@ def learn_rules(
         .orderBy(hash_of("rules", F.col("_label_key")), "_label_key", "_label")
         .limit(most_labels)
     )
-    # rows of at most ``most_labels`` keys
+    # keys and labels of at most ``most_labels`` rows
+    chosen = docs.select(F.col(key).alias("_key"), F.col(text).alias("_body")).join(
+        F.broadcast(sample), F.col("_key") == F.col("_label_key")
+    )
+    counted = text_counts(chosen.select(F.struct("_key", "_label").alias("_pair"), "_body"), key="_pair", text="_body")
     rows = (
-        counts.join(F.broadcast(sample), F.col(key) == F.col("_label_key"))
-        .select(key, "_label", *(F.expr(sql).alias(name) for name, sql in STATISTICS.items()))
-        .orderBy(hash_of("rows", F.col(key)), key, *STATISTICS)
+        counted.select("_pair.*", *(F.expr(sql).alias(name) for name, sql in STATISTICS.items()))
+        .orderBy(hash_of("rows", F.col("_key")), "_key", *STATISTICS)
         .limit(most_labels)
         .toPandas()
     )

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brightloom.llm import decontaminate, jaccard, quality, scoring, toxicity
+from brightloom.llm import decontaminate, jaccard, licences, quality, scoring, toxicity
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
 from brightloom.llm.tokens import token_counts
 from brightloom.plans.catalogue.registry import Register, table
-from brightloom.workspace import written
 
 register = Register()
 
@@ -108,10 +107,10 @@ def op10_token_counts(spark, folder, tokenizer=None):
 @register.query()
 def op4_quality_rules(spark, folder):
     """Counts of every whole text, and the verdict of rules learned from the quality labels."""
-    counts = written(quality.text_counts(table(spark, folder, "documents")), "quality-counts")
-    rules = quality.learn_rules(counts, table(spark, folder, "labels"))
+    documents = table(spark, folder, "documents")
+    rules = quality.learn_rules(documents, table(spark, folder, "labels"))
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return quality.judged(counts, rules).select(*columns)
+    return quality.judged(quality.text_counts(documents), rules).select(*columns)
 
 
 def held_out(parts: int, remainder: int):
@@ -161,3 +160,17 @@ def op9_language_model(spark, folder):
         "score",
         "spelled_score",
     )
+
+
+@register.query()
+def op3_licences(spark, folder):
+    """Licences of every document taken as a file: its own, or that of the nearest directory above.
+
+    A document is a file in the folder of its thousand and of its hundred within its source;
+    every fifth stands for a licence file of its folder.
+    """
+    documents = table(spark, folder, "documents")
+    name = F.expr("CASE WHEN doc_id div 20 % 5 = 0 THEN concat('LICENSE.', doc_id) ELSE concat(doc_id, '.txt') END")
+    path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 100"), name)
+    found = licences.licences(documents.select("doc_id", path.alias("path"), "text"))
+    return found.withColumn("similarity", F.round("similarity", 6))

@@ -72,8 +72,8 @@ class PrefixCounter:
             new = list({piece for pieces in split for piece in pieces})
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            self.known.update(zip(part, (len(e.ids) for e in encoded)))
+            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.known.update(zip(part, map(len, encoded)))
         for pieces in split:
             yield list(map(self.known.__getitem__, pieces))
 
