@@ -20,7 +20,6 @@ from brightloom.functions.stopwords import ENGLISH
 from brightloom.functions.text import clean_text, tokens
 
 MAX_FEATURES = 5000
-BROADCAST_TERMS = 1_000_000  # a vocabulary of up to some tens of megabytes
 TOKENS, COUNTS, WEIGHTED, WEIGHTS = "tokens", "term_counts", "weighted_counts", "features"
 
 
@@ -105,12 +104,7 @@ class TfidfModel:
         vectors = self.transform(tokenised)
         kept = [c for c in vectors.columns if c != WEIGHTS]
         vector = F.unwrap_udt(WEIGHTS)
-        entries = F.arrays_zip(vector["indices"].alias("term_index"), vector["values"].alias("weight"))
-        names = self.term_table(tokenised.sparkSession).select("term_index", "term")
-        if len(self.terms) <= BROADCAST_TERMS:
-            names = F.broadcast(names)
-        return (
-            vectors.select(*kept, F.inline(entries))
-            .join(names, "term_index")
-            .select(*kept, "term", "weight")
-        )
+        # tokens hold no control characters, so one literal carries the whole vocabulary
+        names = F.split(F.lit("\x01".join(self.terms)), "\x01")
+        terms = F.transform(vector["indices"], lambda i: F.get(names, i))
+        return vectors.select(*kept, F.inline(F.arrays_zip(terms.alias("term"), vector["values"].alias("weight"))))

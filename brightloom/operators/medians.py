@@ -27,7 +27,7 @@ GRID = tuple(i / 64 for i in range(65))
 
 
 def _batches(columns: Sequence[str], size: int) -> Iterator[list[str]]:
-    for start in range(0, len(columns), size):
+    for start in range(0, len(columns), size or 1):
         yield list(columns[start : start + size])
 
 
@@ -37,11 +37,12 @@ def approximate_medians(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def approximate_median_values(
-    df: DataFrame, columns: Sequence[str] | None = None, batch_size: int = 50
+    df: DataFrame, columns: Sequence[str] | None = None, batch_size: int | None = None
 ) -> dict[str, float | None]:
-    """Medians as a dictionary, ``batch_size`` columns to an aggregate."""
+    """Medians as a dictionary; all columns in one scan, or ``batch_size`` columns to a scan."""
     found: dict[str, float | None] = {}
-    for batch in _batches(columns or df.columns, batch_size):
+    columns = columns or df.columns
+    for batch in _batches(columns, batch_size or len(columns)):
         found.update(approximate_medians(df, batch).first().asDict())
     return found
 
@@ -106,14 +107,17 @@ def _one_row(df: DataFrame, columns: dict[str, Column]) -> dict:
 
 
 def exact_median_values(
-    df: DataFrame, columns: Sequence[str] | None = None, *, batch_size: int = 50, few_rows: int = 20_000
+    df: DataFrame, columns: Sequence[str] | None = None, *, batch_size: int | None = None, few_rows: int = 2_000
 ) -> dict[str, float | None]:
-    """Lower medians (the value at rank ``ceil(n / 2)``), null for a column without values."""
-    # reads no further than few_rows rows
-    small = len(df.select(F.lit(1)).head(few_rows + 1)) <= few_rows
+    """Lower medians (the value at rank ``ceil(n / 2)``), null for a column without values.
+
+    All columns take part in each scan; with ``batch_size`` that many at a time. A column's search
+    ends when at most ``few_rows`` of its values are left between the bounds.
+    """
     found: dict[str, float | None] = {}
-    for batch in _batches(columns or df.columns, batch_size):
-        found.update(_values_in_the_middle(df, batch) if small else _search(df, batch, few_rows))
+    columns = columns or df.columns
+    for batch in _batches(columns, batch_size or len(columns)):
+        found.update(_search(df, batch, few_rows))
     return found
 
 
@@ -165,12 +169,6 @@ def _pick(df: DataFrame, searches: dict[str, _Search]) -> None:
         searches[c].settle(value)
 
 
-def _values_in_the_middle(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Medians of a table of few rows."""
-    middle = {c: F.get(_sorted(quoted(c)), F.floor((F.count(quoted(c)) - 1) / 2).cast("int")) for c in columns}
-    return _one_row(df, middle)
-
-
 def median_table(spark: SparkSession, medians: dict[str, float | None]) -> DataFrame:
     """``column, median`` rows of a dictionary of medians."""
     rows = [(c, None if m is None else float(m)) for c, m in medians.items()]

@@ -18,7 +18,9 @@ def label_counts(df: DataFrame, label: str) -> DataFrame:
 
 
 def _right(label: str, prediction: str) -> Column:
-    return F.avg((F.col(label) == F.col(prediction)).cast("double"))
+    # a labelled row without a prediction is wrong; a row without a label says nothing
+    right = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("double")
+    return F.avg(F.when(F.col(label).isNotNull(), right))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -39,10 +41,15 @@ def outcome_counts(
 
 
 def confusion_matrix(
-    df: DataFrame, classes: Sequence, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, classes: Sequence | None = None, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """A row per true label, a column ``predicted_<class>`` per class, zeros shown."""
+    """A row per true label, a column ``predicted_<class>`` per class, zeros shown.
+
+    The classes are all labels and predictions seen, and further ones that are asked for.
+    """
     counts = outcome_counts(df, label, prediction)
+    seen_classes = counts.select(F.explode(F.array("label", "prediction")).alias("c")).where("c IS NOT NULL").distinct()
+    classes = sorted({*(classes or ()), *(row["c"] for row in seen_classes.collect())})
     seen = counts.groupBy("label").agg(
         *(F.sum(F.when(F.col("prediction") == F.lit(c), F.col("n")).otherwise(0)).alias(f"predicted_{c}") for c in classes)
     )
@@ -59,7 +66,7 @@ def classification_report(
     With ``by``, one such report per group, all in one job.
     """
     counts = outcome_counts(df, label, prediction, by)
-    n, hit = F.col("n"), F.col("label") == F.col("prediction")
+    n, hit = F.col("n"), F.coalesce(F.col("label") == F.col("prediction"), F.lit(False))
     shares = F.array(
         F.struct(
             F.col("label").alias("class"), n.alias("support"), F.lit(0).cast("long").alias("predicted"),
@@ -70,7 +77,7 @@ def classification_report(
             F.lit(0).cast("long").alias("right"),
         ),
     )
-    per_class = counts.select(*by, F.inline(shares)).groupBy(*by, "class").agg(
+    per_class = counts.select(*by, F.inline(shares)).where("class IS NOT NULL").groupBy(*by, "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("right").alias("right")
     )
 
@@ -87,29 +94,30 @@ def classification_report(
     )
 
     # each class feeds its own row and the three summary rows; a summary is a weighted mean
-    def entry(name: Column, weight: Column, f1: Column, shown: Column) -> Column:
+    # the kind keeps a class that is named like a summary apart from it
+    def entry(kind: str, name: Column, weight: Column, f1: Column, shown: Column) -> Column:
         return F.struct(
-            name.cast("string").alias("class"), weight.cast("double").alias("weight"), shown.alias("shown"),
+            F.lit(kind).alias("kind"), name.cast("string").alias("class"), weight.cast("double").alias("weight"), shown.alias("shown"),
             F.col("precision"), F.col("recall"), f1.alias("f1"), F.col("support"),
         )
 
     one, f1, yes = F.lit(1), F.col("f1"), F.lit(True)
     entries = F.array(
-        entry(F.col("class"), one, f1, yes),
-        entry(F.lit("accuracy"), support, F.col("hits"), F.lit(False)),
-        entry(F.lit("macro avg"), one, f1, yes),
-        entry(F.lit("weighted avg"), support, f1, yes),
+        entry("class", F.col("class"), one, f1, yes),
+        entry("summary", F.lit("accuracy"), support, F.col("hits"), F.lit(False)),
+        entry("summary", F.lit("macro avg"), one, f1, yes),
+        entry("summary", F.lit("weighted avg"), support, f1, yes),
     )
 
     def mean(name: str) -> Column:
         return F.sum(F.col(name) * F.col("weight")) / F.sum("weight")
 
-    return scored.select(*by, F.inline(entries)).groupBy(*by, "class").agg(
+    return scored.select(*by, F.inline(entries)).groupBy(*by, "kind", "class").agg(
         F.when(F.bool_and("shown"), mean("precision")).alias("precision"),
         F.when(F.bool_and("shown"), mean("recall")).alias("recall"),
         mean("f1").alias("f1"),
         F.sum("support").alias("support"),
-    )
+    ).drop("kind")
 
 
 def report_text(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -57,7 +57,7 @@ def has_message(message: Column) -> Column:
 
 def reject_reason(message: Column) -> Column:
     """Why a message cannot be scored, null if it can."""
-    return F.when(~has_message(message), F.lit("Message is not provided"))
+    return F.when(~has_message(message), F.lit("no text to score"))
 
 
 def split_rejects(df: DataFrame, message: str = "message") -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from brightloom.functions import payloads as P
 from brightloom.operators import predictions as R
 from brightloom.operators.records import parse_records
 from brightloom.plans.catalogue.registry import Register, rounded, table
-from brightloom.workspace import fresh_path, spread
+from brightloom.workspace import fresh_path
 
 register = Register()
 
@@ -125,7 +125,7 @@ MESSAGE_RULE = "CASE WHEN turn % 3 = 2 THEN '' WHEN turn % 5 = 4 THEN NULL ELSE
 
 
 @register.query(
-    "SELECT conv_id, turn, 'Message is not provided' AS reason FROM"
+    "SELECT conv_id, turn, 'no text to score' AS reason FROM"
     f" (SELECT conv_id, turn, {MESSAGE_RULE} AS message FROM conversations) WHERE message IS NULL OR message = ''"
 )
 def message_rejects(spark, folder):
@@ -146,7 +146,7 @@ def payload_encode(spark, folder):
 
 @register.query(f"SELECT event_id, message, prediction FROM ({SQL_PARSED})")
 def payload_fallback(spark, folder):
-    return parse_records(spread(records(spark, folder))).select("event_id", "message", "prediction")
+    return parse_records(records(spark, folder)).select("event_id", "message", "prediction")
 
 
 @register.query(

@@ -75,7 +75,7 @@ def accuracy_by_source(spark, folder):
     f" count(*) FILTER (WHERE prediction = 1) AS predicted_1 FROM ({SQL_OUTCOMES}) GROUP BY label"
 )
 def confusion_matrix(spark, folder):
-    return M.confusion_matrix(outcomes(spark, folder), [0, 1])
+    return M.confusion_matrix(outcomes(spark, folder))
 
 
 def sql_report(outcome_rows: str) -> str:

@@ -19,7 +19,7 @@ from brightloom.plans.catalogue.registry import Register, rounded, table
 from brightloom.plans.catalogue.texts import SQL_STOP_WORDS, sql_tokens
 from brightloom.sources.readers import read_split
 from brightloom.sources.writers import write_split
-from brightloom.workspace import fresh_path, spread
+from brightloom.workspace import fresh_path
 
 register = Register()
 
@@ -97,7 +97,7 @@ def prepared(labelled: DataFrame) -> DataFrame:
 
 def training_tokens(spark, folder) -> DataFrame:
     rows = split_rows(by_lang(spark, folder), "doc_id").where(F.col("split") == TRAIN)
-    return with_tokens(spread(rows.select("doc_id", "text")), "text")
+    return with_tokens(rows.select("doc_id", "text"), "text")
 
 
 @register.query(f"SELECT doc_id, {SQL_SPLIT} AS split FROM documents")
@@ -215,5 +215,5 @@ SQL_SCORED = f"{SQL_BY_LANG}, {SQL_MODEL}, {SQL_MESSAGE_SCORES}"
 @register.query(SQL_SCORED)
 def score_messages(spark, folder):
     model = fitted(prepared(by_lang(spark, folder)))
-    messages = spread(table(spark, folder, "conversations").select("conv_id", "turn", "text"))
+    messages = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return J.score_messages(messages, "text", model).select("conv_id", "turn", "prediction")

@@ -17,9 +17,10 @@ register = Register()
 
 
 def table_stream(spark, folder, name) -> DataFrame:
-    """A given table as a stream of its files."""
+    """A given table as a stream of its files, be it one file or a folder of them."""
     schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    # a pattern, since a stream takes no path of a single file
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def run_to_end(records: DataFrame, name: str) -> str:
@@ -36,7 +37,7 @@ FIELDS = ("message", "prediction", "event_seconds")
 def stream_parse_payload(spark, folder):
     stream = table_stream(spark, folder, "events").select(F.expr(M.RECORD_RULE).alias("value"))
     target = run_to_end(parse_records(stream), "parsed")
-    return spark.read.parquet(target).select("value", "status", *FIELDS)
+    return S.of_sink(spark, target, S.STORED_SCHEMA).select("value", "status", *FIELDS)
 
 
 @register.query(f"SELECT message, prediction, event_seconds FROM ({M.SQL_PARSED}) WHERE status = 'stored'")
@@ -72,9 +73,27 @@ def stream_restart_no_dups(spark, folder):
 def stream_score_messages(spark, folder):
     model = fitted(prepared(by_lang(spark, folder)))
     stream = table_stream(spark, folder, "conversations").select("conv_id", "turn", "text")
-    scored = S.score_stream(stream, "text", model).select("conv_id", "turn", "prediction")
+    return scored_batches(spark, stream, model).where("reason IS NULL").select("conv_id", "turn", "prediction")
+
+
+def scored_batches(spark, stream, model) -> DataFrame:
+    scored = S.score_stream(stream, "text", model).select("conv_id", "turn", "prediction", "reason")
     target = fresh_path(spark, "scores")
     S.finish(
         S.for_each_batch(scored, S.batch_folder_writer(target), f"{target}-checkpoint", available_now=True)
     )
-    return spark.read.parquet(target).select("conv_id", "turn", "prediction")
+    return S.of_sink(spark, target, scored.schema)
+
+
+#: Every fifth text is taken away and every seventh left empty.
+MISSING = "CASE WHEN (conv_id + turn) % 5 = 0 THEN NULL WHEN (conv_id + turn) % 7 = 0 THEN '' ELSE text END"
+
+
+@register.query(
+    f"SELECT conv_id, turn, 'no text to score' AS reason FROM conversations WHERE coalesce({MISSING}, '') = ''"
+)
+def stream_message_rejects(spark, folder):
+    """Messages that cannot be scored, with the reason, from the pass that scores the others."""
+    model = fitted(prepared(by_lang(spark, folder)))
+    stream = table_stream(spark, folder, "conversations").select("conv_id", "turn", F.expr(MISSING).alias("text"))
+    return scored_batches(spark, stream, model).where("reason IS NOT NULL").select("conv_id", "turn", "reason")

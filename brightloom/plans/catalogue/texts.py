@@ -17,7 +17,7 @@ from brightloom.sources.readers import (
     read_test_cases,
 )
 from brightloom.sources.writers import write_latin1_csv, write_lines
-from brightloom.workspace import fresh_path, spread
+from brightloom.workspace import fresh_path
 
 register = Register()
 
@@ -40,7 +40,7 @@ SQL_STOP_WORDS = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLI
 
 
 def documents(spark, folder) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def rewritten(spark, folder, function) -> DataFrame:
@@ -135,7 +135,7 @@ def json_testcase_explode(spark, folder):
     f"SELECT page_id, regexp_replace('see ' || url || ' now ' || html, '{T.URL}', '', 'g') AS text FROM pages"
 )
 def strip_urls(spark, folder):
-    pages = spread(table(spark, folder, "pages").select("page_id", "url", "html"))
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
     text = F.concat(F.lit("see "), F.col("url"), F.lit(" now "), F.col("html"))
     return pages.select("page_id", T.strip_urls(text).alias("text"))
 

@@ -15,7 +15,7 @@ from brightloom.operators.columns import quoted
 from brightloom.operators.features import MAX_FEATURES, TfidfModel, with_tokens
 from brightloom.operators.metrics import classification_report, report_text
 from brightloom.operators.splits import TEST, TRAIN, train_test_split
-from brightloom.workspace import spread, written
+from brightloom.workspace import written
 
 
 def prepare(df: DataFrame, key: str, text: str, label: str, test_percent: int = 20) -> DataFrame:
@@ -25,7 +25,7 @@ def prepare(df: DataFrame, key: str, text: str, label: str, test_percent: int =
     side they need, instead of running the text expressions again.
     """
     chosen = df.select(F.col(key), F.col(text).alias("_text"), F.col(label))
-    return written(train_test_split(with_tokens(spread(chosen), "_text"), key, test_percent), "split", by=["split"])
+    return written(train_test_split(with_tokens(chosen, "_text"), key, test_percent), "split", by=["split"])
 
 
 def side(prepared: DataFrame, part: str) -> DataFrame:

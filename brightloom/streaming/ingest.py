@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brightloom.functions.payloads import encode_payload, epoch_seconds
-from brightloom.operators.predictions import has_message
+from brightloom.operators.columns import quoted
+from brightloom.operators.predictions import reject_reason
 from brightloom.operators.records import BROKEN, STORED
 from brightloom.plans.text_jobs import score_messages
 from brightloom.sources.writers import topic_records
@@ -37,19 +39,35 @@ def store(records: DataFrame, path: str, checkpoint: str, *, available_now: bool
     return (writer.trigger(availableNow=True) if available_now else writer).start(path)
 
 
+STORED_SCHEMA = "value string, message string, prediction string, event_seconds double, timestamp timestamp, status string"
+
+
+def of_sink(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What a stream has stored so far; no rows where nothing was."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame:
     """The predictions of a stored stream; the filter opens only their folder."""
-    rows = spark.read.parquet(path).where(F.col("status") == STORED)
+    rows = of_sink(spark, path, STORED_SCHEMA).where(F.col("status") == STORED)
     return rows.select("timestamp", "message", "prediction", "event_seconds")
 
 
 def dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("status") == BROKEN).select("timestamp", "value")
+    rows = of_sink(spark, path, STORED_SCHEMA).where(F.col("status") == BROKEN)
+    return rows.select("timestamp", "value")
 
 
 def score_stream(stream: DataFrame, text: str, model) -> DataFrame:
-    """Predictions for the messages of a stream; those without text are left out."""
-    return score_messages(stream.where(has_message(F.col(text))), text, model)
+    """All messages with ``prediction`` and ``reason``: one without text has no prediction, but a reason."""
+    scored = score_messages(stream, text, model)
+    reason = reject_reason(quoted(text))
+    return scored.withColumn("reason", reason).withColumn("prediction", F.when(F.col("reason").isNull(), F.col("prediction")))
 
 
 def prediction_records(scored: DataFrame, text: str, prediction: str = "prediction") -> DataFrame:

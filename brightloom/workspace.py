@@ -7,6 +7,7 @@ executor costs a re-read of a table and never a recomputation of its lineage.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -23,7 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    # a local-cluster has executors with folders of their own
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError(f"set {SHARED_FOLDER} to a folder every executor can reach")
     if context.applicationId not in _local_roots:
         path = tempfile.mkdtemp(prefix="brightloom-")
@@ -43,13 +45,3 @@ def written(df: DataFrame, name: str, *, by: list[str] | None = None) -> DataFra
     writer.parquet(path)
     # the schema is known, so no task has to open a file to infer it
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give row-wise work a partition per core when the scan offers no more than half as many.
-
-    A scan of a large table already has more splits than cores and passes through
-    untouched, so the exchange only ever moves inputs of few splits.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df

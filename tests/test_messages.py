@@ -105,4 +105,4 @@ def test_rejects(spark):
     df = spark.createDataFrame([("a",), ("",), (None,), (" ",)], "message string")
     good, bad = R.split_rejects(df)
     assert [r[0] for r in good.collect()] == ["a", " "]
-    assert [tuple(r) for r in bad.collect()] == [("", "Message is not provided"), (None, "Message is not provided")]
+    assert [tuple(r) for r in bad.collect()] == [("", "no text to score"), (None, "no text to score")]

@@ -69,3 +69,22 @@ def test_label_texts(spark):
     texts = df.select(decode_label(F.col("label")).alias("t"))
     assert [r[0].split()[0] for r in texts.collect()] == ["Positive", "Negative", "Unknown", "Unknown"]
     assert [r[0] for r in texts.select(encode_label(F.col("t"))).collect()] == [1, 0, 0, 0]
+
+
+def test_a_missing_prediction_is_wrong(spark):
+    df = outcomes(spark, [(1, 1), (1, None), (None, 1)])
+    assert M.accuracy(df).first()["accuracy"] == 0.5
+    assert report(spark, [(1, 1), (1, None)])["accuracy"] == (None, None, 0.5, 2)
+
+
+def test_a_class_named_like_a_summary(spark):
+    pairs = [("accuracy", "accuracy"), ("b", "accuracy"), ("b", "b"), ("accuracy", "b")]
+    rows = M.classification_report(spark.createDataFrame(pairs, "label string, prediction string")).collect()
+    assert sorted((r["class"], r["f1"], r["support"]) for r in rows if r["class"] == "accuracy") == [
+        ("accuracy", 0.5, 2), ("accuracy", 0.5, 4)
+    ]
+
+
+def test_confusion_matrix_takes_what_it_sees(spark):
+    rows = M.confusion_matrix(outcomes(spark, [(0, 0), (0, 7), (2, 0)])).collect()
+    assert [tuple(r) for r in rows] == [(0, 1, 0, 1), (2, 1, 0, 0), (7, 0, 0, 0)]

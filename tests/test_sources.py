@@ -5,7 +5,7 @@ import pytest
 from brightloom.plans import table_jobs
 from brightloom.sources import readers, writers
 from brightloom import workspace
-from brightloom.workspace import fresh_path, spread, written
+from brightloom.workspace import fresh_path, written
 
 
 def test_delimited_inference_and_schema(spark, tmp_path):
@@ -75,9 +75,3 @@ def test_workspace(spark):
     assert fresh_path(spark, "a").startswith(workspace.shared_folder(spark))
     df = spark.createDataFrame([(1, "x", 2)], "a int, p string, b int")
     assert written(df, "t", by=["p"]).select("a", "p", "b").collect() == df.collect()
-
-
-def test_spread_leaves_wide_inputs_alone(spark):
-    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
-    many = spark.range(100, numPartitions=20)
-    assert spread(many) is many

@@ -4,7 +4,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
+
 from brightloom.operators.records import parse_records
+from brightloom.plans.catalogue import QUERIES
 from brightloom.sources import writers
 from brightloom.streaming import ingest as S
 from brightloom.workspace import fresh_path
@@ -78,3 +81,18 @@ def test_topic_records(spark):
     assert writers.topic_records(df, F.col("message")).first()["key"] is None
     options = writers._topic_options("host:1", "t")
     assert options["kafka.acks"] == "all" and options["topic"] == "t"
+
+
+@pytest.mark.parametrize("rows", [None, 0])
+def test_streams_over_folders_of_parts_and_empty_ones(spark, tmp_path, rows):
+    for name in ("events", "conversations", "documents", "labels"):
+        table = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        if name in ("events", "conversations") and rows is not None:
+            table = table.limit(rows).coalesce(1)
+        else:
+            table = table.repartition(3)
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_parse_payload", "stream_dead_letters", "stream_score_messages", "stream_message_rejects"):
+        found = QUERIES[name].run(spark, str(tmp_path))
+        expected = 0 if rows == 0 else QUERIES[name].run(spark, SMALL).count()
+        assert found.count() == expected

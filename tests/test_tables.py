@@ -92,6 +92,18 @@ def test_exact_medians(spark, few_rows):
     assert M.exact_median_values(df, batch_size=5, few_rows=few_rows) == expected
 
 
+def test_many_columns_need_no_more_scans_than_one(spark, monkeypatch):
+    draw = random.Random(6)
+    rows = [[draw.gauss(0, 1) for _ in range(40)] for _ in range(6000)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(40))).repartition(4).cache()
+    scans, aggregate = [], M._one_row
+    monkeypatch.setattr(M, "_one_row", lambda *args: scans.append(1) or aggregate(*args))
+    found = M.exact_median_values(df)
+    assert len(scans) <= 4
+    assert found == {f"c{i}": lower_median([row[i] for row in rows]) for i in range(40)}
+    df.unpersist()
+
+
 def test_medians_survive_a_sketch_that_misses():
     search = M._Search(rank=50, between=100, quantiles=[1.0, 2.0, 3.0, 4.0, 5.0, 6.0])
     assert search.next_bounds() == (3.0, 4.0)
