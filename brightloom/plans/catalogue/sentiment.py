@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators.bayes import TextClassifier, class_priors
 from brightloom.operators.features import TfidfModel, vocabulary, with_idf, with_tokens
-from brightloom.operators.splits import TRAIN, train_test_split as split_rows
+from brightloom.operators.splits import TEST, TRAIN, train_test_split as split_rows
 from brightloom.plans import text_jobs as J
 from brightloom.plans.catalogue.metrics import SQL_REPORT_ROWS, report_rows, sql_report
 from brightloom.plans.catalogue.registry import Register, rounded, table
@@ -30,8 +30,8 @@ SQL_LANG = "SELECT doc_id, lang AS label, text FROM documents"
 SQL_QUALITY = "SELECT doc_id, quality AS label, text FROM documents JOIN labels USING (doc_id)"
 
 
-def sql_chain(labelled: str) -> str:
-    """Common table expressions from labelled texts to term weights."""
+def sql_chain(labelled: str, scope: str = "split = 'train'") -> str:
+    """Common table expressions from labelled texts to term weights, fitted on the documents in scope."""
     return f"""
     docs AS MATERIALIZED (
         SELECT doc_id, label, {SQL_SPLIT} AS split, {sql_tokens("text")} AS tokens
@@ -41,11 +41,11 @@ def sql_chain(labelled: str) -> str:
         FROM (SELECT doc_id, label, split, unnest(tokens) AS term FROM docs) GROUP BY ALL),
     vocabulary AS MATERIALIZED (
         SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_count FROM tf
-        WHERE split = 'train' AND term NOT IN ({SQL_STOP_WORDS})
+        WHERE {scope} AND term NOT IN ({SQL_STOP_WORDS})
         GROUP BY term ORDER BY term_count DESC, term LIMIT 5000),
     idf AS MATERIALIZED (
         SELECT term, doc_count,
-            ln((1 + (SELECT count(*) FROM docs WHERE split = 'train'))::DOUBLE / (1 + doc_count)) + 1 AS idf
+            ln((1 + (SELECT count(*) FROM docs WHERE {scope}))::DOUBLE / (1 + doc_count)) + 1 AS idf
         FROM vocabulary),
     weights AS MATERIALIZED (
         SELECT doc_id, label, split, term,
@@ -105,11 +105,13 @@ def train_test_split(spark, folder):
     return split_rows(table(spark, folder, "documents").select("doc_id"), "doc_id")
 
 
-@register.query(f"SELECT doc_id, label FROM (SELECT *, {SQL_SPLIT} AS split FROM ({SQL_LANG})) WHERE split = 'train'")
+@register.query(f"SELECT doc_id, label, text, {SQL_SPLIT} AS split FROM ({SQL_LANG})")
 def split_roundtrip(spark, folder):
+    """Both sides of a saved split."""
     path = fresh_path(spark, "saved-split")
     write_split(split_rows(by_lang(spark, folder), "doc_id"), path)
-    return read_split(spark, path, TRAIN).select("doc_id", "label")
+    sides = [read_split(spark, path, part).withColumn("split", F.lit(part)) for part in (TRAIN, TEST)]
+    return sides[0].unionByName(sides[1]).select("doc_id", "label", "text", "split")
 
 
 @register.query(f"{SQL_BY_LANG} SELECT term, term_count FROM vocabulary")
@@ -131,6 +133,17 @@ def tfidf_weights(spark, folder):
     return weights.select("doc_id", "split", "term", rounded("weight").alias("weight"))
 
 
+@register.query(
+    f"WITH {sql_chain(SQL_LANG, 'TRUE')} SELECT doc_id, split, term, round(weight, 6) AS weight FROM weights"
+)
+def tfidf_weights_all(spark, folder):
+    """Vocabulary and idf from test documents as well."""
+    split = prepared(by_lang(spark, folder))
+    features = J.fit_features(split, J.TrainingSettings(fit_scope="all"))
+    weights = features.weights(split.select("doc_id", "split", "tokens"))
+    return weights.select("doc_id", "split", "term", rounded("weight").alias("weight"))
+
+
 def fitted(split: DataFrame) -> TextClassifier:
     return J.train(split, "label")
 
@@ -155,6 +168,21 @@ def nb_joint_loglik(spark, folder):
     return scores.select("doc_id", "label", rounded("score").alias("score"))
 
 
+SQL_UNIFORM = SQL_MODEL.replace("ln(count(*)::DOUBLE / sum(count(*)) OVER ())", "ln(1.0::DOUBLE / count(*) OVER ())")
+SQL_UNIFORM = SQL_UNIFORM.replace("coalesce(s, 0) + 1", "coalesce(s, 0) + 0.5")
+
+
+@register.query(
+    f"WITH {sql_chain(SQL_QUALITY)}, {SQL_UNIFORM}, {SQL_JOINT} SELECT doc_id, label, round(score, 6) AS score FROM joint"
+)
+def nb_joint_loglik_uniform(spark, folder):
+    """Half a pseudo-count and equal priors."""
+    split = prepared(by_quality(spark, folder))
+    model = J.train(split, "label", J.TrainingSettings(alpha=0.5, fit_prior=False))
+    scores = model.joint_log_likelihood(J.side(split, "test").select("doc_id", "tokens"))
+    return scores.select("doc_id", "label", rounded("score").alias("score"))
+
+
 @register.query(f"{SQL_PREDICTED} SELECT doc_id, label, prediction FROM predicted")
 def nb_predict(spark, folder):
     split = prepared(by_lang(spark, folder))
