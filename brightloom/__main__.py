@@ -38,9 +38,9 @@ def count_words(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def clean_table(spark: SparkSession, args: argparse.Namespace) -> None:
-    source = read_delimited(spark, args.input, args.schema)
-    cleaned = table_jobs.clean_wide_table(source, args.first_column, exact=args.exact)
-    write_delimited(cleaned, args.output, single_file=args.single_file)
+    table_jobs.clean_wide_file(
+        spark, args.input, args.output, args.schema, args.first_column, exact=args.exact, single_file=args.single_file
+    )
 
 
 def train_clusters(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -197,3 +197,22 @@ def tsv_roundtrip(spark, folder):
     source, path = table(spark, folder, "lineitem").select("l_orderkey", *rules), fresh_path(spark, "tsv")
     write_delimited(source, path)
     return read_delimited(spark, path, source.schema)
+
+
+@register.query(
+    f"WITH filled AS (SELECT {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in GAPPY)} FROM ({SQL_GAPPY})"
+    f" WHERE {SQL_ANY_VALUE}), medians AS (SELECT "
+    + ", ".join(f"quantile_disc({c}, 0.5) AS {c}" for c in GAPPY)
+    + " FROM filled) SELECT "
+    + ", ".join(f"round(CASE WHEN f.{c} < 0 OR f.{c} > 1000 THEN m.{c} ELSE f.{c} END, 6) AS {c}" for c in GAPPY)
+    + " FROM filled f, medians m"
+)
+def clean_wide_file(spark, folder):
+    """The job from file to file."""
+    rules = (F.expr(rule).alias(name) for name, rule in GAPPY.items())
+    source = table(spark, folder, "lineitem").select("l_orderkey", *rules)
+    given, cleaned = fresh_path(spark, "wide"), fresh_path(spark, "cleaned")
+    write_delimited(source, given)
+    table_jobs.clean_wide_file(spark, given, cleaned, source.schema.simpleString()[7:-1].replace(":", " "), 1, exact=True)
+    back = read_delimited(spark, cleaned, ", ".join(f"{c} double" for c in GAPPY))
+    return back.select(*(rounded(c).alias(c) for c in GAPPY))

@@ -39,9 +39,9 @@ def clean_wide_table(df: DataFrame, first_column: int = FIRST_MEASURE, *, exact:
 
 def clean_wide_file(
     spark: SparkSession, source: str, target: str, schema: str | None = None,
-    first_column: int = FIRST_MEASURE, *, single_file: bool = False,
+    first_column: int = FIRST_MEASURE, *, exact: bool = False, single_file: bool = False,
 ) -> None:
-    cleaned = clean_wide_table(read_delimited(spark, source, schema), first_column)
+    cleaned = clean_wide_table(read_delimited(spark, source, schema), first_column, exact=exact)
     write_delimited(cleaned, target, single_file=single_file)
 
 
