@@ -26,17 +26,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from brightloom.llm.components import components
-from brightloom.llm.textkit import NON_SPACE, Block, blocks, import_here, keyed, lists, map_texts, mix, window_hashes
+from brightloom.llm.textkit import (
+    NON_SPACE,
+    Block,
+    as_array,
+    blocks,
+    import_here,
+    keyed,
+    lists,
+    map_texts,
+    mix,
+    window_hashes,
+)
 from brightloom.workspace import written
-from pyspark.sql.pandas.types import to_arrow_schema
 
 SHINGLE = 5
 GROUPS = 16
+FINE_GROUPS = 256
 LEAF = 32
 PAGE = 512
 SLOT_BITS = 20
+FILTER_BITS = 22
 
 
 def required(sizes: np.ndarray | int) -> np.ndarray | int:
@@ -70,13 +83,15 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row ``key, _body, n, node`` for each document, and rows ``slot, seen`` for slots of frequent shingles.
+    """A row ``key, n, node, counts, fine`` for each document, and rows ``slot, seen`` for slots of frequent shingles.
+
+    ``counts`` is the point in the tree, ``fine`` counts by more groups.
 
     A task reports a slot that got far more shingles than slots do on the mean, so that what it
     reports stays small; a shingle of many documents stands out in every task.
     """
     import_here(docs)
-    schema = keyed(docs, [key], "_body long, n long, node long, slot long, seen long")
+    schema = keyed(docs, [key], "n long, node long, counts array<int>, fine array<int>, slot long, seen long")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +99,8 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         def rows(length: int, **columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(length, f.type) for f in arrow], schema=arrow
+                [as_array(columns[f.name], f.type) if f.name in columns else pa.nulls(length, f.type) for f in arrow],
+                schema=arrow,
             )
 
         for batch in batches:
@@ -92,17 +108,19 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
                 part = slice(block.first_row, block.first_row + block.n_docs)
                 sets = list(shingle_sets(block))
                 seen += np.bincount(_slots(np.concatenate(sets)), minlength=1 << SLOT_BITS)
-                nodes = [fingerprint(s) if len(s) else None for s in sets]
-                yield rows(
-                    block.n_docs,
-                    **{key: batch.column(key)[part], "_body": batch.column("_body")[part], "n": list(map(len, sets)), "node": nodes},
-                )
+                columns = {
+                    key: batch.column(key)[part],
+                    "n": list(map(len, sets)),
+                    "node": [fingerprint(s) if len(s) else None for s in sets],
+                    "counts": _vectors(sets, GROUPS),
+                    "fine": _vectors(sets, FINE_GROUPS),
+                }
+                yield rows(block.n_docs, **columns)
         mean = seen.mean()
         heavy = np.flatnonzero(seen > mean + 6 * np.sqrt(mean) + 8)
         yield rows(len(heavy), slot=heavy, seen=seen[heavy])
 
-    whole = F.col(text).cast("string")
-    return docs.select(key, F.xxhash64(whole).alias("_body"), whole.alias("_text")).mapInArrow(run, schema)
+    return docs.select(key, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def slot_weights(rows: DataFrame) -> np.ndarray:
@@ -141,30 +159,44 @@ def prefixes(docs: DataFrame, weights: np.ndarray, text: str) -> DataFrame:
     return map_texts(docs, [], text, "token long, node long", per_batch)
 
 
-def point(shingles: np.ndarray) -> np.ndarray:
+def point(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """Counts of a set by group."""
-    return np.bincount((shingles % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+
+
+def _vectors(sets: list[np.ndarray], groups: int) -> pa.Array:
+    return lists(np.concatenate([point(s, groups) for s in sets]), np.arange(len(sets) + 1) * groups)
 
 
-def sets_of(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """``node, n, shingles, counts`` of one document of each of these nodes."""
-    whole = F.col(text).cast("string")
-    bodies = docs.select(F.col(key).alias("_key"), F.xxhash64(whole).alias("_body"), whole.alias("_whole"))
-    chosen = members.select(F.col("_who")[key].alias("_member"), F.col("_who")["_body"].alias("_body"))
-    own = bodies.join(chosen, (bodies["_body"] == chosen["_body"]) & bodies["_key"].eqNullSafe(chosen["_member"]))
+def sets_of(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """``node, n, shingles`` of these nodes (and of some more), read from the texts once again.
+
+    A filter of fixed size, one bit for each slot that a node falls in, goes to every task, so that
+    only sets move which are likely to be asked for, and no texts. A task tells equal sets once.
+    """
+    spark = docs.sparkSession
+    slots = nodes.select(F.col("node").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("slot")).distinct().toArrow()
+    wanted = np.zeros(1 << FILTER_BITS, bool)
+    wanted[slots["slot"].to_numpy()] = True
+    shared = spark.sparkContext.broadcast(wanted)
+    told: set[int] = set()
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:
         for block in blocks(texts):
-            sets = list(shingle_sets(block))
-            bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-            yield {
-                "node": [fingerprint(s) for s in sets],
-                "n": np.diff(bounds),
-                "shingles": lists(np.concatenate(sets).view(np.int64), bounds),
-                "counts": lists(np.concatenate([point(s) for s in sets]), np.arange(len(sets) + 1) * GROUPS),
-            }
+            found = {}
+            for shingles in shingle_sets(block):
+                if len(shingles):
+                    node = fingerprint(shingles)
+                    if shared.value[node & ((1 << FILTER_BITS) - 1)] and node not in told:
+                        told.add(node)
+                        found[node] = shingles
+            if found:
+                sets = list(found.values())
+                bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+                flat = lists(np.concatenate(sets).view(np.int64), bounds)
+                yield {"node": list(found), "n": np.diff(bounds), "shingles": flat}
 
-    return map_texts(own, [], "_whole", "node long, n long, shingles array<long>, counts array<int>", per_batch)
+    return map_texts(docs, [], text, "node long, n long, shingles array<long>", per_batch)
 
 
 def may_link(least_overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -260,26 +292,48 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sizes and finer counts leave room for a link."""
+    of_a = points.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("fine").alias("_fa"))
+    of_b = points.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("fine").alias("_fb"))
+    both = pairs.join(of_a, "a").join(of_b, "b").where("5 * least(_na, _nb) >= 4 * greatest(_na, _nb)")
+    overlap = "aggregate(zip_with(_fa, _fb, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
+    return both.where(f"9 * {overlap} >= 4 * (_na + _nb)").select("a", "b")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, points: DataFrame, text: str) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar."""
+    asked = written(bounded(pairs, points), "bounded-pairs")
+    nodes = asked.select(F.explode(F.array("a", "b")).alias("node"))
+    # equal sets come from several tasks; a link found twice is one link
+    sets = written(sets_of(docs, nodes, text), "shingle-sets").dropDuplicates(["node"])
     of_a = sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("shingles").alias("_sa"))
     of_b = sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("shingles").alias("_sb"))
-    both = pairs.join(of_a, "a").join(of_b, "b").where("5 * least(_na, _nb) >= 4 * greatest(_na, _nb)")
+    both = asked.join(of_a, "a").join(of_b, "b")
     return both.where("9L * size(array_intersect(_sa, _sb)) >= 4 * (_na + _nb)").select("a", "b")
 
 
+def shared_tokens(tokens: DataFrame) -> DataFrame:
+    """``token, node, pivot`` of tokens that several nodes have; of tokens with the very same nodes only one."""
+    mixed = F.xxhash64("node") % (1 << 40)
+    runs = (
+        tokens.groupBy("token")
+        .agg(F.min("node").alias("pivot"), F.max("node").alias("_last"), F.sum(mixed).alias("_sum"), F.bit_xor("node").alias("_xor"))
+        .where("pivot < _last")
+    )
+    chosen = runs.groupBy("pivot", "_last", "_sum", "_xor").agg(F.min("token").alias("token")).select("token", "pivot")
+    return tokens.join(chosen, "token")
+
+
 def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``key, n, node`` of every document, and links ``a, b`` that connect all nodes that similarity connects."""
     rows = written(described(docs, key, text), "shingle-rows")
-    documents = rows.where("slot IS NULL")
-    tokens = prefixes(docs, slot_weights(rows), text)
-    pivots = tokens.groupBy("token").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).where("pivot < _last")
-    shared = written(tokens.join(pivots.drop("_last"), "token"), "shared-shingles")
-    # one document of each node that shares a shingle
-    members = documents.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(key, "_body")).alias("_who"))
-    sets = written(sets_of(docs, members.join(shared.select("node").distinct(), "node"), key, text), "shingle-sets")
+    documents = rows.where("slot IS NULL").select(key, "n", "node")
+    shared = written(shared_tokens(prefixes(docs, slot_weights(rows), text)), "shared-shingles")
+    told = rows.where("node IS NOT NULL").groupBy("node")
+    points = written(told.agg(*(F.first(c).alias(c) for c in ("n", "counts", "fine"))), "points")
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = written(verified(stars, sets), "star-links")
+    first = written(verified(stars, docs, points, text), "star-links")
     known = components(first)
     grouped = shared.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = (
@@ -288,16 +342,17 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
         .where("_low < _high")
         .select("token", F.ceil(F.col("_m") / PAGE).cast("int").alias("_pages"))
     )
+    left, right = F.least("page", "_other").alias("left"), F.greatest("page", "_other").alias("right")
     paged = (
         grouped.join(several, "token")
         .withColumn("page", F.pmod(F.xxhash64("node"), F.col("_pages")).cast("int"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _pages - 1)")))
-        .select("token", "node", "pivot", "component", "page", F.least("page", "_other").alias("left"), F.greatest("page", "_other").alias("right"))
-        .join(sets.select("node", "n", "counts"), "node")
+        .select("token", "node", "pivot", "component", "page", left, right)
+        .join(points.select("node", "n", "counts"), "node")
     )
     keys = ["token", "left", "right"]
     trees = surviving_pairs(paged.repartition(*keys).sortWithinPartitions(*keys))
-    second = verified(trees.distinct(), sets)
+    second = verified(trees.distinct(), docs, points, text)
     return documents, written(first.union(second), "links")
 
 

@@ -170,13 +170,13 @@ def map_texts(
         for batch in batches:
             named = {k: batch.column(k) for k in keys}
             for columns in per_batch(named, batch.column("_text")):
-                arrays = [_array(columns[f.name], f.type) for f in arrow]
+                arrays = [as_array(columns[f.name], f.type) for f in arrow]
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return docs.select(*keys, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-def _array(values, kind: pa.DataType) -> pa.Array:
+def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array | pa.ChunkedArray):
         return values.cast(kind)
     return pa.array(values, type=kind)
