@@ -225,7 +225,7 @@ def spelled(words: DataFrame, codes: DataFrame, probabilities: DataFrame, totals
 
 
 def learned(words: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> tuple[DataFrame, dict[str, float]]:
-    """``word, c, p, spelled`` and sums, from ``word, c``: the probability of each word's event and of its spelling."""
+    """``word, c, p`` and sums, from ``word, c``: the probability of each word; ``unseen`` is that of all unseen words."""
     state = words.withColumn("tables", F.least("c", F.lit(1).cast("long")))
     for k in range(rounds):
         length = F.octet_length("word") + 1
@@ -242,9 +242,9 @@ def learned(words: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> tuple[Dat
     new = F.lit((STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers))
     own = (F.col("c") - F.lit(WORD_DISCOUNT) * F.col("seated")) / F.lit(STRENGTH + customers)
     exact = own + new * F.col("spelled")
-    event = F.when(F.col("c") > 0, exact).otherwise(new * F.lit(max(1.0 - covered, 1e-12)))
-    sums = {"customers": customers, "distinct": distinct}
-    return state.select("word", "c", event.alias("p"), exact.alias("spelled")), sums
+    unseen = (STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers) * max(1.0 - covered, 1e-12)
+    sums = {"customers": customers, "distinct": distinct, "unseen": unseen}
+    return state.select("word", "c", exact.cast("float").alias("p")), sums
 
 
 def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[str, float]]:
@@ -263,10 +263,12 @@ def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "
         # words are asked by the hash that documents have; the empty word is the end
         asked = right.column("word").combine_chunks().cast(pa.large_binary()).cast(pa.large_string())
         counts = right.column("c").to_numpy()
+        # the smallest floats stand for spellings that are rarer still
+        exact = np.maximum(right.column("p").to_numpy().astype(float), 1e-45)
         values = {
             "base_score": np.log10((counts + 1) / smoothed),
-            "score": np.log10(right.column("p").to_numpy()),
-            "spelled_score": np.log10(right.column("spelled").to_numpy()),
+            "score": np.log10(np.where(counts > 0, exact, sums["unseen"])),
+            "spelled_score": np.log10(exact),
         }
         of_word = np.zeros(len(asked), np.uint64)
         for block in blocks(asked):

@@ -111,17 +111,15 @@ class PrefixCounter:
         k = bisect_right(ends, length) - 1
         return (counts[k] if k >= 0 else 0) + self.rest(text[ends[k] if k >= 0 else 0 : length])
 
-    def truncate(self, text: str, ends: list[int], counts: list[int], budget: int) -> int:
-        """Characters of the longest prefix of at most ``budget`` tokens."""
+    @staticmethod
+    def truncate(ends: list[int], counts: list[int], budget: int) -> int:
+        """Characters of the longest stored prefix of at most ``budget`` tokens; nothing is encoded again."""
         k = bisect_right(counts, budget)
-        at, end = (ends[k - 1] if k else 0), (ends[k] if k < len(ends) else len(text))
-        left = budget - (counts[k - 1] if k else 0)
-        # a later safe end is over the budget, and so is whatever contains it
-        return next(i for i in range(end, at - 1, -1) if i == at or self.rest(text[at:i]) <= left)
+        return ends[k - 1] if k else 0
 
     def fit(self, text: str, budget: int) -> int:
         _, ends, counts = next(self.tables([text]))
-        return self.truncate(text, ends, counts, budget)
+        return self.truncate(ends, counts, budget)
 
 
 def prefix_table(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -141,7 +139,7 @@ def prefix_table(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
 def token_counts(
     docs: DataFrame, path: str, budget: int, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key, n_bytes, n_tokens, fitting_chars``: the last column is the longest prefix within the budget."""
+    """``key, n_bytes, n_tokens, fitting_chars``: the last column is the longest safe prefix (or text) within the budget."""
     schema = keyed(docs, [key], "n_bytes long, n_tokens long, fitting_chars long")
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:
