@@ -5,6 +5,7 @@ from compare import connect, differences
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
+from brightloom.plans.catalogue import QUERIES
 
 ROWS_ONLY = {"column_medians_approx", "kmeans_fit", "kmeans_elbow", "kmeans_silhouette_sweep"}
 
@@ -15,7 +16,7 @@ def connection():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert {name for name, query in QUERIES.items() if query.sql is None} == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
