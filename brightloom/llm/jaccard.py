@@ -48,7 +48,7 @@ GROUPS = 16
 FINE_GROUPS = 256
 LEAF = 32
 PAGE = 512
-SLOT_BITS = 20
+SLOT_BITS = 22
 FILTER_BITS = 22
 
 
@@ -95,7 +95,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << SLOT_BITS, np.int64)
+        seen = np.zeros(1 << SLOT_BITS, np.int32)
 
         def rows(length: int, **columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -107,7 +107,8 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
             for block in blocks(batch.column("_text")):
                 part = slice(block.first_row, block.first_row + block.n_docs)
                 sets = list(shingle_sets(block))
-                seen += np.bincount(_slots(np.concatenate(sets)), minlength=1 << SLOT_BITS)
+                slots, times = np.unique(_slots(np.concatenate(sets)), return_counts=True)
+                seen[slots] += times.astype(np.int32)
                 columns = {
                     key: batch.column(key)[part],
                     "n": list(map(len, sets)),
@@ -117,7 +118,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
                 }
                 yield rows(block.n_docs, **columns)
         mean = seen.mean()
-        heavy = np.flatnonzero(seen > mean + 6 * np.sqrt(mean) + 8)
+        heavy = np.flatnonzero(seen > mean + 4 * np.sqrt(mean) + 2)
         yield rows(len(heavy), slot=heavy, seen=seen[heavy])
 
     return docs.select(key, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
@@ -125,9 +126,9 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def slot_weights(rows: DataFrame) -> np.ndarray:
     """How often the frequent slots were seen; at most one row for each of the fixed slots comes to the driver."""
-    weights = np.zeros(1 << SLOT_BITS, np.int64)
+    weights = np.zeros(1 << SLOT_BITS, np.int32)
     for row in rows.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("seen").alias("seen")).toLocalIterator():
-        weights[row["slot"]] = row["seen"]
+        weights[row["slot"]] = min(row["seen"], np.iinfo(np.int32).max)
     return weights
 
 
@@ -325,6 +326,10 @@ def shared_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.join(chosen, "token")
 
 
+def _with_components(shared: DataFrame, known: DataFrame) -> DataFrame:
+    return shared.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``key, n, node`` of every document, and links ``a, b`` that connect all nodes that similarity connects."""
     rows = written(described(docs, key, text), "shingle-rows")
@@ -334,8 +339,25 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
     points = written(told.agg(*(F.first(c).alias(c) for c in ("n", "counts", "fine"))), "points")
     stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     first = written(verified(stars, docs, points, text), "star-links")
-    known = components(first)
-    grouped = shared.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # what the smallest document doesn't connect, another one may: one star more by a hashed choice
+    apart = _with_components(shared, components(first))
+    hubs = (
+        apart.groupBy("token")
+        .agg(
+            F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("_hub"),
+            F.min("component").alias("_low"),
+            F.max("component").alias("_high"),
+        )
+        .where("_low < _high")
+    )
+    more = (
+        apart.join(hubs.select("token", "_hub"), "token")
+        .where("component <> _hub.component AND node <> pivot AND _hub.node <> pivot")
+        .select(F.least("node", F.col("_hub.node")).alias("a"), F.greatest("node", F.col("_hub.node")).alias("b"))
+        .distinct()
+    )
+    first = written(first.union(verified(more, docs, points, text)), "more-star-links")
+    grouped = _with_components(shared, components(first))
     several = (
         grouped.groupBy("token")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_m"))
