@@ -1,7 +1,8 @@
 """Log-probabilities of whole texts under a hierarchical Pitman-Yor model.
 
-A text is its lower-cased words and one end, each a customer of a restaurant of words. The parent of
-that restaurant spells: a word is its bytes and a stop, each drawn in the restaurant of the bytes
+A text is its lower-cased words and one end. Each is a customer of the restaurant of the word before
+it (of the end, for a first word), whose tables are customers of one restaurant of words. The parent of
+that one spells: a word is its bytes and a stop, each drawn in the restaurant of the bytes
 before it, and every context's parent is the context without its farthest byte, down to the uniform
 distribution over bytes. So a word never seen has the probability of its spelling, and spellings are
 learned from the tables of the words.
@@ -12,7 +13,11 @@ other parents, so each subtree is one group; the restaurants above (contexts of
 the driver samples between rounds. Within a sweep the restaurants of a level
 see each other's tables as of the sweep before.
 
-Nothing of the vocabulary is broadcast. Documents (and words) are dealt into chunks of a few
+A pair of words is two 64-bit hashes, counted in each chunk before pairs meet. Dishes of a word's
+restaurant need only its number of tables from each other, so pairs are seated wherever they lie and no
+context, however common, meets in one task.
+
+Nothing of the vocabulary is broadcast. Documents (and words and pairs) are dealt into chunks of a few
 megabytes; each chunk names its distinct words (codes), these join the model, and the chunk meets the
 answers in one group.
 
@@ -32,15 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.llm.seating import BYTES, Level, chain, predictions, seat, log_stirling, sweep
-from brightloom.llm.textkit import NON_SPACE, blocks, import_here
+from brightloom.llm.textkit import NON_SPACE, blocks, import_here, mix
 from brightloom.workspace import written
 
 CONTEXT = 5  # bytes
 DISCOUNTS = [0.5, 0.6, 0.7, 0.75, 0.8, 0.8]  # by length of the context
 WORD_DISCOUNT = 0.7
+PAIR_DISCOUNT = 0.75
 STRENGTH = 1.0
 STOP = 10
 CHUNK_BYTES = 12_000_000
+PAIR_BYTES = 24
 TOP_LENGTH = 2  # shortest context inside the subtrees
 ROUNDS = 2
 BURN_IN = 1
@@ -93,6 +100,63 @@ def chunk_words(docs: DataFrame) -> DataFrame:
     return docs.select("_chunk", "_train", "_text").groupBy("_chunk").applyInArrow(run, "_chunk int, word binary, c long")
 
 
+def pair_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """64 bits for each pair of hashed words."""
+    return mix(before.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + word.astype(np.uint64))
+
+
+def sequence(words, hashes: np.ndarray) -> np.ndarray:
+    """The hashes of a block's words with the end, 0, after each document; the end before is the context of a first word."""
+    return np.insert(hashes, words.bounds[1:], 0)
+
+
+def chunk_pairs(docs: DataFrame) -> DataFrame:
+    """``_chunk, u, w, c``: the distinct pairs of each chunk, a word after another, and their number in its training texts."""
+    import_here(docs)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        train = np.asarray(table.column("_train").combine_chunks().to_numpy(zero_copy_only=False), bool)
+        parts = []
+        for first, n, words, hashes in _words_of(table.column("_text").combine_chunks()):
+            w = sequence(words, hashes)
+            u = np.append(np.uint64(0), w[:-1])
+            weight = np.repeat(train[first : first + n], words.counts + 1)
+            parts.append(_counted(pair_hashes(u, w), u, w, weight))
+        pair, u, w, c = _counted(*(np.concatenate(column) for column in zip(*parts)))
+        order = np.lexsort((w, u))
+        chunk = np.full(len(c), table.column("_chunk")[0].as_py(), np.int32)
+        return pa.table({"_chunk": chunk, "u": u[order].view(np.int64), "w": w[order].view(np.int64), "c": c[order]})
+
+    return docs.select("_chunk", "_train", "_text").groupBy("_chunk").applyInArrow(run, "_chunk int, u long, w long, c long")
+
+
+def _counted(pair: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    distinct, at, place = np.unique(pair, return_index=True, return_inverse=True)
+    return distinct, u[at], w[at], np.bincount(place, c, len(distinct)).astype(np.int64)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """The hash that documents have for each word; 0 for the empty word, which is the end."""
+    out = np.zeros(len(words), np.uint64)
+    for block in blocks(words.cast(pa.large_binary()).cast(pa.large_string())):
+        found = block.words(NON_SPACE)
+        out[block.first_row + found.docs()] = found.hashes()
+    return out
+
+
+def with_hashes(words: DataFrame) -> DataFrame:
+    """Add ``h``, the hash of each of ``word, n``."""
+    import_here(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = pa.array(word_hashes(batch.column("word")).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), h], ["word", "n", "h"])
+
+    return words.select("word", "n").mapInArrow(run, "word binary, n long, h long")
+
+
 def codes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of each word and its stop, flat, and where each word's begin."""
     words = words.cast(pa.large_binary())
@@ -196,7 +260,7 @@ def spelling(codes: DataFrame, seed: int) -> DataFrame:
 
 
 def spelled(words: DataFrame, codes: DataFrame, probabilities: DataFrame, totals: tuple[int, int, int], seed: int) -> DataFrame:
-    """``word, c, tables, spelled, seated``: the probability of each word's spelling, and drawn and mean tables."""
+    """``word, n, h, c, tables, spelled, seated``: the probability of each word's spelling, and drawn and mean tables."""
     answers = codes.select("_chunk", "code").join(probabilities, "code")
     customers, tables_before, _ = totals
 
@@ -214,37 +278,87 @@ def spelled(words: DataFrame, codes: DataFrame, probabilities: DataFrame, totals
         others = np.maximum(tables_before - before, 0)
         draws = [seat(count, others, spelled, WORD_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
         mean = np.mean(draws[BURN_IN:], axis=0)
-        return pa.table({"word": word, "c": count, "tables": draws[-1], "spelled": spelled, "seated": mean})
+        carried = {"word": word, "n": left.column("n"), "h": left.column("h")}
+        return pa.table(carried | {"c": count, "tables": draws[-1], "spelled": spelled, "seated": mean})
 
     return (
-        words.select("_chunk", "word", "c", "tables")
+        words.select("_chunk", "word", "n", "h", "c", "tables")
         .groupBy("_chunk")
         .cogroup(answers.groupBy("_chunk"))
-        .applyInArrow(run, "word binary, c long, tables long, spelled double, seated double")
+        .applyInArrow(run, "word binary, n long, h long, c long, tables long, spelled double, seated double")
     )
 
 
-def learned(words: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> tuple[DataFrame, dict[str, float]]:
-    """``word, c, p`` and sums, from ``word, c``: the probability of each word; ``unseen`` is that of all unseen words."""
-    state = words.withColumn("tables", F.least("c", F.lit(1).cast("long")))
+def seated_pairs(pairs: DataFrame, words: DataFrame, seed: int) -> DataFrame:
+    """``u, w, c, t, seated`` from ``u, w, c, t`` and words ``h, p, opened``: drawn and mean tables of each pair.
+
+    Pairs are dealt into chunks, which name their words.
+    """
+    import_here(pairs)
+    several = chunked(pairs, F.lit(PAIR_BYTES), [F.col("u"), F.col("w")], CHUNK_BYTES // 8)
+    named = several.select(F.col("_chunk").alias("_asks"), F.explode(F.array("u", "w")).alias("h")).distinct()
+    answers = named.join(words.select("h", "p", "opened"), "h")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        u, w, c, t = (left.column(name).to_numpy() for name in ("u", "w", "c", "t"))
+        order = np.argsort(right.column("h").to_numpy())
+        known = right.column("h").to_numpy()[order]
+        parent = np.maximum(right.column("p").to_numpy()[order][np.searchsorted(known, w)].astype(float), 1e-300)
+        others = np.maximum(right.column("opened").to_numpy()[order][np.searchsorted(known, u)].astype(np.int64) - t, 0)
+        own = np.random.Generator(np.random.PCG64([seed, int(left.column("_chunk")[0].as_py())]))
+        stirling = log_stirling(PAIR_DISCOUNT)
+        draws = [seat(c, others, parent, PAIR_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
+        mean = np.mean(draws[BURN_IN:], axis=0)
+        return pa.table({"u": u, "w": w, "c": c, "t": draws[-1], "seated": mean})
+
+    return several.groupBy("_chunk").cogroup(answers.groupBy("_asks")).applyInArrow(
+        run, "u long, w long, c long, t long, seated double"
+    )
+
+
+def learned(
+    words: DataFrame, pairs: DataFrame, rounds: int = ROUNDS, seed: int = 11
+) -> tuple[DataFrame, DataFrame, dict[str, float]]:
+    """``word, h, n, p, opened``, ``u, w, c, seated`` and sums, from ``word, n, h`` and ``u, w, c``.
+
+    ``p`` is the probability of each word without a context and ``opened`` the tables of its restaurant;
+    ``unseen`` is the probability of all unseen words.
+    """
+    seated = pairs.select("u", "w", "c", F.lit(1).cast("long").alias("t"), F.lit(1.0).alias("seated"))
+    # one customer has one table, whatever is drawn
+    single, several = seated.where("c = 1"), seated.where("c > 1")
+    state = words.withColumn("tables", F.lit(1).cast("long"))
     for k in range(rounds):
+        # the tables of all contexts are the customers of a word
+        customers_of = seated.groupBy(F.col("w").alias("h")).agg(F.sum("t").alias("c"))
+        state = state.select("word", "n", "h", "tables").join(customers_of, "h", "left")
+        state = state.withColumn("c", F.coalesce("c", F.lit(0).cast("long"))).withColumn("tables", F.least("tables", "c"))
+        state = written(state, "customers")
         length = F.octet_length("word") + 1
         dealt = chunked(state, length, [F.col("word")], CHUNK_BYTES // 8)
         codes = written(chunk_codes(dealt), "codes")
         counted = written(codes.groupBy("code").agg(F.sum("c").alias("c")), "code-counts")
         # one row of sums
-        sums = state.agg(F.sum("c"), F.sum("tables"), F.sum((F.col("c") > 0).cast("long"))).first()
-        totals = tuple(int(x or 0) for x in sums)
+        sums = state.agg(F.sum("c"), F.sum("tables"), F.sum((F.col("c") > 0).cast("long")), F.sum("n")).first()
+        customers, tables_before, distinct, tokens = (int(x or 0) for x in sums)
+        totals = customers, tables_before, distinct
         state = written(spelled(dealt, codes, spelling(counted, seed + k), totals, seed + 100 + k), "words")
-    customers, _, distinct = totals
-    known = F.when(F.col("c") > 0, F.col("spelled"))
-    tables, covered = (float(x or 0) for x in state.agg(F.sum("seated"), F.sum(known)).first())
-    new = F.lit((STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers))
-    own = (F.col("c") - F.lit(WORD_DISCOUNT) * F.col("seated")) / F.lit(STRENGTH + customers)
-    exact = own + new * F.col("spelled")
+        known = F.when(F.col("c") > 0, F.col("spelled"))
+        tables, covered = (float(x or 0) for x in state.agg(F.sum("seated"), F.sum(known)).first())
+        new = F.lit((STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers))
+        own = (F.col("c") - F.lit(WORD_DISCOUNT) * F.col("seated")) / F.lit(STRENGTH + customers)
+        exact = (own + new * F.col("spelled")).cast("float")
+        before = _with_opened(state.select("word", "h", "n", exact.alias("p")), seated, "t")
+        several = written(seated_pairs(several, before, seed + 200 + k), "seated-pairs")
+        seated = single.unionByName(several)
     unseen = (STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers) * max(1.0 - covered, 1e-12)
-    sums = {"customers": customers, "distinct": distinct, "unseen": unseen}
-    return state.select("word", "c", exact.cast("float").alias("p")), sums
+    sums = {"customers": tokens, "distinct": distinct, "unseen": unseen}
+    return _with_opened(before.drop("opened"), seated, "seated"), seated.select("u", "w", "c", "seated"), sums
+
+
+def _with_opened(words: DataFrame, pairs: DataFrame, tables: str) -> DataFrame:
+    opened = pairs.groupBy(F.col("u").alias("h")).agg(F.sum(tables).cast("double").alias("opened"))
+    return words.join(opened, "h", "left").withColumn("opened", F.coalesce("opened", F.lit(0.0)))
 
 
 def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[str, float]]:
@@ -253,41 +367,58 @@ def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("_key"), whole.alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
     dealt = chunked(rows, F.octet_length("_text") + 1, [F.col("_key"), F.col("_text")], CHUNK_BYTES)
-    pairs = written(chunk_words(dealt), "chunk-words")
-    model, sums = learned(written(pairs.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary"))
-    answers = pairs.select("_chunk", "word").join(model, "word")
+    asked = written(chunk_words(dealt), "chunk-words")
+    asked_pairs = written(chunk_pairs(dealt), "chunk-pairs")
+    vocabulary = written(with_hashes(asked.groupBy("word").agg(F.sum("c").alias("n"))), "vocabulary")
+    counted = written(asked_pairs.where("c > 0").groupBy("u", "w").agg(F.sum("c").alias("c")), "pairs")
+    model, pairs, sums = learned(vocabulary, counted)
+    no_word, no_pair = F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long")
+    of_words = asked.select("_chunk", "word").join(model, "word").select(
+        "_chunk", "word", "n", "p", "opened", no_pair.alias("u"), no_pair.alias("w")
+    )
+    of_pairs = asked_pairs.select("_chunk", "u", "w").join(pairs, ["u", "w"]).select(
+        "_chunk", no_word, F.col("c").alias("n"), F.lit(None).cast("float").alias("p"), F.col("seated").alias("opened"), "u", "w"
+    )
+    answers = of_words.unionByName(of_pairs)
     smoothed = sums["customers"] + sums["distinct"] + 1.0
     kind = docs.schema[key].dataType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        is_word = right.column("word").combine_chunks().is_valid()
+        words_, pairs_ = right.filter(is_word), right.filter(pc.invert(is_word))
         # words are asked by the hash that documents have; the empty word is the end
-        asked = right.column("word").combine_chunks().cast(pa.large_binary()).cast(pa.large_string())
-        counts = right.column("c").to_numpy()
-        # the smallest floats stand for spellings that are rarer still
-        exact = np.maximum(right.column("p").to_numpy().astype(float), 1e-45)
-        values = {
-            "base_score": np.log10((counts + 1) / smoothed),
-            "score": np.log10(np.where(counts > 0, exact, sums["unseen"])),
-            "spelled_score": np.log10(exact),
-        }
-        of_word = np.zeros(len(asked), np.uint64)
-        for block in blocks(asked):
-            words = block.words(NON_SPACE)
-            of_word[block.first_row + words.docs()] = words.hashes()
-        end = int(np.flatnonzero(pc.binary_length(asked).to_numpy() == 0)[0])
+        of_word = word_hashes(words_.column("word").combine_chunks())
         order = np.argsort(of_word)
-        known, seen = of_word[order], (counts > 0)[order]
+        known = of_word[order]
+        counts, opened = words_.column("n").to_numpy()[order], words_.column("opened").to_numpy()[order]
+        # the smallest floats stand for spellings that are rarer still
+        exact = np.maximum(words_.column("p").to_numpy()[order].astype(float), 1e-45)
+        parents = {"score": np.where(counts > 0, exact, sums["unseen"]), "spelled_score": exact}
+        base = np.log10((counts + 1) / smoothed)
+        # what a word's restaurant gives to its parent, and keeps for each pair
+        passed = (STRENGTH + PAIR_DISCOUNT * opened) / (STRENGTH + counts)
+        pair = pair_hashes(pairs_.column("u").to_numpy().view(np.uint64), pairs_.column("w").to_numpy().view(np.uint64))
+        by_pair = np.argsort(pair)
+        kept = (pairs_.column("n").to_numpy() - PAIR_DISCOUNT * pairs_.column("opened").to_numpy())[by_pair]
+        pair, kept = np.append(pair[by_pair], np.uint64(0)), np.append(kept, 0.0)
+        end = int(np.searchsorted(known, np.uint64(0)))
         out = []
         table = left.combine_chunks()
         for first, n, words, hashes in _words_of(table.column("_text").combine_chunks()):
-            place, own = np.searchsorted(known, hashes), words.docs()
+            w = sequence(words, hashes)
+            place, own = np.searchsorted(known, w), np.repeat(np.arange(n), words.counts + 1)
+            before = np.append(end, place[:-1])
+            asked = pair_hashes(known[before], w)
+            at = np.searchsorted(pair[:-1], asked)
+            alone = np.where(pair[at] == asked, kept[at], 0.0) / (STRENGTH + counts[before])
             columns = {
                 key: table.column("_key").slice(first, n),
                 "n_tokens": words.counts + 1,
-                "n_known": np.bincount(own, seen[place], n).astype(np.int64) + int(counts[end] > 0),
+                "n_known": np.bincount(own, counts[place] > 0, n).astype(np.int64),
+                "base_score": np.bincount(own, base[place], n),
             }
-            for name, value in values.items():
-                columns[name] = np.bincount(own, value[order][place], n) + value[end]
+            for name, parent in parents.items():
+                columns[name] = np.bincount(own, np.log10(alone + passed[before] * parent[place]), n)
             out.append(pa.table(columns))
         return pa.concat_tables(out)
 

@@ -284,6 +284,38 @@ def test_scores(spark):
         assert np.isfinite(row.score) and row.spelled_score <= row.score + 1e-9 or n_known == n_tokens
 
 
+def test_order_of_words_counts(spark):
+    random = np.random.default_rng(5)
+    follows = random.integers(0, 60, (60, 3))
+
+    def text(at):
+        out = []
+        for _ in range(40):
+            at = follows[at, random.integers(0, 3)]
+            out.append(f"w{at}")
+        return out
+
+    texts = [text(k % 60) for k in range(400)]
+    shuffled = [list(random.permutation(t)) for t in texts[300:]]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts + shuffled)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in scoring.scored(docs, F.col("doc_id") < 300)[0].collect()}
+    for k in range(300, 400):
+        assert found[k].base_score == pytest.approx(found[k + 100].base_score)
+        assert found[k].score > found[k + 100].score + 5
+
+
+def test_pairs_seen_more_often_score_higher(spark):
+    texts = ["a b", "a c", "a b", "b a"]
+    ends = ["", "a", "b", "c", "z"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100 + k, f"a {e}") for k, e in enumerate(ends)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in scoring.scored(docs, F.col("doc_id") < 100)[0].collect()}
+    assert all(found[k].score < 0 for k, _ in rows)
+    # "a b" stood twice, "a c" once
+    assert found[102].score > found[103].score > found[104].score
+
+
 def test_seating_keeps_probabilities():
     from brightloom.llm import seating
 
