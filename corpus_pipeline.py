@@ -29,12 +29,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of the smallest key; documents without words or key stay."""
-    found = jaccard.near_duplicates(docs)
-    chosen = found.where("doc_id = component").select("doc_id").distinct()
+    """One row of each group: that of the smallest key, nulls last; documents without words are groups of their own."""
+    # nulls are hashed by their place, as a hash of columns skips them
+    body = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))
+    # a key may stand in several groups, so a row is told by its whole content as well
+    keyed = docs.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("key"), body.alias("body")))
+    found = jaccard.near_duplicates(keyed, key=ROW)
+    chosen = found.where(F.col(ROW) == F.col("component")).select(ROW).distinct()
     # a row that stands in the table twice is a copy as well
-    named = docs.where("doc_id IS NOT NULL").join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    return keyed.dropDuplicates([ROW]).join(chosen, ROW, "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

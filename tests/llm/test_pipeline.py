@@ -69,3 +69,16 @@ def test_near_duplicates_keep_one_of_each(spark):
     expected = {key for key, _, component in groups if key is not None and key == component}
     assert Counter(r.doc_id for r in kept if r.doc_id is not None) == Counter(expected)
     assert sum(r.doc_id is None for r in kept) == 1
+
+
+def test_near_duplicates_decide_by_row(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    near, other = f"{text} more", " ".join(f"v{k}" for k in range(60))
+    rows = [(3, text), (5, near), (5, other), (5, f"{other} more"), (None, near), (None, "alone but said twice or more")]
+    rows += [(None, "alone but said twice or more"), (9, "three short words"), (9, "")]
+    docs = spark.createDataFrame([(k, t, "en", "a") for k, t in rows], "doc_id long, text string, lang string, source string")
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect())
+    seconds = [r for r in kept if r[0] == 5]
+    assert len(seconds) == 1 and seconds[0][1] in (other, f"{other} more")
+    del kept[seconds[0]]
+    assert kept == Counter([(3, text), (None, "alone but said twice or more"), (9, "three short words"), (9, "")])
