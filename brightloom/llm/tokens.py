@@ -5,7 +5,10 @@ count at the end of a piece is the count at its start plus the piece's own count
 once and remembered. Only pieces of white space depend on what follows them; the ends of all others
 are *safe*: the pieces before them are the same in every longer prefix. For any prefix the count is
 that of the last safe end in it plus that of the rest, which is never longer than a piece and the
-white space before it. Budgets and truncation are answered from the stored safe ends alone.
+white space before it. Of a text over the budget the last safe end within it is read off, and the
+prefixes from there to the next are counted one by one: in a short stretch by encoding them, in a long
+piece by a table over its bytes. There the last token of each prefix is the one that stays apart from
+the last token of what is before it, when both are encoded together.
 
 Defined results: null texts count as empty ones with no tokens, null or repeated keys are rows like
 any others, further columns are ignored, an empty table gives no rows.
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from brightloom.llm.textkit import keyed, map_texts
 
 REMEMBERED_PIECES = 1_000_000
+SHORT = 48  # characters of a stretch whose prefixes are encoded
 DOCS_AT_A_TIME = 256
 
 # fixed values: white space and the pattern of the byte-level pre-tokenizer
@@ -59,7 +63,18 @@ class PrefixCounter:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            added = [t["content"] for t in json.load(file)["added_tokens"]]
+            content = json.load(file)
+        added = [t["content"] for t in content["added_tokens"]]
+        # tokens are spelled in an alphabet of one character for each byte
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+        self.inner = {self.letters[b] for b in range(128, 192)}  # of characters of several bytes
+        self.vocabulary = set(content["model"]["vocab"])
+        merges = (m if isinstance(m, list) else m.split(" ") for m in content["model"]["merges"])
+        self.ranks = {tuple(m): rank for rank, m in enumerate(merges)}
+        self.longest = max(map(len, self.vocabulary), default=1)
+        self.apart: dict[tuple[str, str], bool] = {}
         self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.pieces = regex.compile(_PIECES)
         self.known: dict[str, int] = {}
@@ -118,8 +133,85 @@ class PrefixCounter:
         return ends[k - 1] if k else 0
 
     def fit(self, text: str, budget: int) -> int:
+        """Characters of the longest of all prefixes of at most ``budget`` tokens."""
         _, ends, counts = next(self.tables([text]))
-        return self.truncate(ends, counts, budget)
+        at = self.truncate(ends, counts, budget)
+        k = bisect_right(ends, at)
+        # a later safe end is over the budget, and so is whatever contains it
+        left = budget - (counts[k - 1] if k else 0)
+        return at + self.within(text[at : ends[k] if k < len(ends) else len(text)], left)
+
+    def within(self, stretch: str, budget: int) -> int:
+        """The same for what stands from one safe end to the next: white space, a piece and a special token, each if any."""
+        white = len(stretch) - len(stretch.lstrip(_WHITE))
+        at = 0
+        spans = []
+        for piece in self.split(stretch):
+            spans.append((at, at + len(piece), piece))
+            at += len(piece)
+        before = list(accumulate(next(self.counts([[p for _, _, p in spans]])), initial=0))
+        for k in range(len(spans) - 1, -1, -1):
+            start, end, piece = spans[k]
+            if end <= white:
+                break
+            left = budget - before[k]
+            lowest = max(start, white)
+            if end - lowest <= SHORT or (self.special is not None and self.special.fullmatch(piece)):
+                # a part of a special token may join the piece before it
+                since = spans[k - 1][0] if k and start >= white and spans[k - 1][1] > white else start
+                have = budget - (before[k - 1] if since < start else before[k])
+                found = next((i for i in range(end, lowest, -1) if self.totals([stretch[since:i]])[0] <= have), None)
+            else:
+                found = self.last_within(piece, left, lowest - start)
+                found = None if found is None else start + found
+            if found is not None:
+                return found
+        # the white space before a prefix's end is one piece
+        return self.last_within(stretch[:white], budget, 0) or 0
+
+    def last_within(self, piece: str, budget: int, least: int) -> int | None:
+        """The longest prefix of one piece of more than ``least`` characters and at most ``budget`` tokens."""
+        symbols = "".join(map(self.letters.__getitem__, piece.encode()))
+        counts, tokens = [0], [""]
+        over, found, length = 0, None, 0
+        for i in range(1, len(symbols) + 1):
+            last = next(t for t in self._endings(symbols, i) if self._apart(tokens[i - len(t)], t))
+            counts.append(counts[i - len(last)] + 1)
+            tokens.append(last)
+            # a character ends where none goes on
+            if i == len(symbols) or symbols[i] not in self.inner:
+                length += 1
+                if length > least and counts[i] <= budget:
+                    found = length
+            # whatever comes later has its last token after one of these
+            over = over + 1 if counts[i] >= budget else 0
+            if over >= self.longest and counts[i] > budget:
+                break
+        return found
+
+    def _endings(self, symbols: str, end: int) -> Iterator[str]:
+        for start in range(max(0, end - self.longest), end):
+            if symbols[start:end] in self.vocabulary:
+                yield symbols[start:end]
+
+    def _apart(self, before: str, token: str) -> bool:
+        """Whether two tokens are what their joint spelling is encoded to."""
+        pair = before, token
+        if pair not in self.apart:
+            if len(self.apart) > REMEMBERED_PIECES:
+                self.apart.clear()
+            self.apart[pair] = self._merged(before + token) == ([before, token] if before else [token])
+        return self.apart[pair]
+
+    def _merged(self, symbols: str) -> list[str]:
+        parts = list(symbols)
+        while len(parts) > 1:
+            ranks = [self.ranks.get(pair, len(self.ranks)) for pair in zip(parts, parts[1:])]
+            at = min(range(len(ranks)), key=ranks.__getitem__)
+            if ranks[at] == len(self.ranks):
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
 
 
 def prefix_table(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -139,7 +231,7 @@ def prefix_table(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
 def token_counts(
     docs: DataFrame, path: str, budget: int, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``key, n_bytes, n_tokens, fitting_chars``: the last column is the longest safe prefix (or text) within the budget."""
+    """``key, n_bytes, n_tokens, fitting_chars``: the last column is the longest prefix within the budget."""
     schema = keyed(docs, [key], "n_bytes long, n_tokens long, fitting_chars long")
 
     def per_batch(keys: dict[str, pa.Array], texts: pa.Array) -> Iterator[dict]:

@@ -378,6 +378,26 @@ def test_every_prefix(spark, tokenizer):
             assert counter.truncate(ends, counts, budget) == max(i for i in [0, *ends] if whole[i] <= budget)
 
 
+def test_longest_prefix_within_a_budget(tokenizer):
+    counter = tokens.PrefixCounter.of(tokenizer_path("byte_bpe_50k.json"))
+    random = np.random.default_rng(8)
+    letters = [*" \t\n  　abzé'strevdm01٣²汉😀́.,!-<", "<|endoftext|>", " " * 60, "ing" * 40, "汉字" * 30, "." * 70, "é" * 60]
+    for _ in range(150):
+        text = "".join(random.choice(letters, random.integers(0, 9)))
+        whole = [len(tokenizer.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)]
+        for budget in (0, 1, 4, 20, 60):
+            assert counter.fit(text, budget) == max(i for i, n in enumerate(whole) if n <= budget), (text, budget)
+
+
+def test_longest_prefix_of_a_long_run(tokenizer):
+    counter = tokens.PrefixCounter.of(tokenizer_path("byte_bpe_50k.json"))
+    random = np.random.default_rng(9)
+    text = "".join(random.choice([*"etaoinshrdlu"], 100_000))
+    found = counter.fit(text, 1024)
+    encoded = [len(tokenizer.encode(text[:i], add_special_tokens=False).ids) for i in range(found, found + 200)]
+    assert encoded[0] <= 1024 and min(encoded[1:]) > 1024
+
+
 def test_prefix_table(spark):
     row = tokens.prefix_table(brute.odd(spark).where("doc_id = 8"), tokenizer_path("byte_bpe_50k.json")).first()
     assert (row.n_tokens, row.ends, row.counts) == (2, [3, 9], [1, 2])
