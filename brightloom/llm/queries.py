@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brightloom.llm import decontaminate, jaccard, licences, quality, scoring, toxicity
+from brightloom.llm.filter_audit import filter_audit
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
@@ -174,3 +175,42 @@ def op3_licences(spark, folder):
     path = F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 100"), name)
     found = licences.licences(documents.select("doc_id", path.alias("path"), "text"))
     return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@register.query(
+    r"""WITH read AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+flags AS (SELECT part, doc_id,
+    (len(words) < 200)::INT AS a,
+    (100 * len(list_distinct(words)) < 50 * len(words))::INT AS b,
+    (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text))::INT AS c,
+    regexp_matches(text, '[#$%&*|]')::INT AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE)::INT AS e FROM read),
+known AS (SELECT doc_id, max(coalesce(quality = 1, FALSE)::INT) AS good, max(coalesce(toxic = 1, FALSE)::INT) AS bad
+  FROM labels GROUP BY doc_id),
+counts AS (SELECT part, a, b, c, d, e, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad, count(*) AS n
+  FROM flags LEFT JOIN known USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (SELECT p.l || q.l || r.l || s.l || t.l AS filter_order FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.l, q.l, r.l, s.l, t.l])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders),
+judged AS (SELECT part, filter_order, step, good, bad, n, a + b + c + d + e AS failed,
+    list_extract([a, b, c, d, e], strpos('ABCDE', substr(filter_order, step, 1))) AS own,
+    len(list_filter(range(1, step),
+      lambda k: list_extract([a, b, c, d, e], strpos('ABCDE', substr(filter_order, k, 1))) = 1)) > 0 AS gone
+  FROM counts, steps),
+turns AS (SELECT part, substr(filter_order, step, 1) AS l, sum(n)::BIGINT AS shapley
+  FROM judged WHERE own = 1 AND NOT gone GROUP BY ALL)
+SELECT judged.part AS part, filter_order, step, sum(CASE WHEN own = 0 AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+  sum(CASE WHEN own = 1 AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN own = 1 AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN own = 1 AND failed = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN own = 1 AND NOT gone AND good = 1 THEN n ELSE 0 END)::BIGINT AS good_lost,
+  sum(CASE WHEN own = 1 AND NOT gone AND bad = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost,
+  coalesce(any_value(shapley), 0)::BIGINT AS shapley
+FROM judged LEFT JOIN turns ON turns.part = judged.part AND l = substr(filter_order, step, 1)
+GROUP BY judged.part, filter_order, step"""
+)
+def op13_filter_audit(spark, folder):
+    """What five filters of whole texts remove in all 120 orders, by language."""
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
