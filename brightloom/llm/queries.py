@@ -9,6 +9,7 @@ from brightloom.llm.filter_audit import filter_audit
 from brightloom.llm.mixing import mix, rates
 from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
+from brightloom.llm.token_files import checksums, token_folder, write_token_files
 from brightloom.llm.tokens import token_counts
 from brightloom.plans.catalogue.registry import Register, table
 
@@ -214,3 +215,15 @@ GROUP BY judged.part, filter_order, step"""
 def op13_filter_audit(spark, folder):
     """What five filters of whole texts remove in all 120 orders, by language."""
     return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+END_ID = 2
+
+
+@register.query()
+def op11_token_files(spark, folder, tokenizer=None):
+    """Where the ids of every whole text stand in files of Simple-8b blocks, and their checksum, read from the files."""
+    target = token_folder(spark)
+    path = tokenizer or tokenizer_path("word_bpe_49k.json")
+    files = write_token_files(table(spark, folder, "documents"), path, target, end_id=END_ID)
+    return checksums(files, target)
