@@ -11,6 +11,7 @@ from brightloom.llm.private import BASE, joined, private_spans
 from brightloom.llm.sharding import shards
 from brightloom.llm.token_files import checksums, token_folder, write_token_files
 from brightloom.llm.tokens import token_counts
+from brightloom.llm.whitening import whiten
 from brightloom.plans.catalogue.registry import Register, table
 
 register = Register()
@@ -227,3 +228,9 @@ def op11_token_files(spark, folder, tokenizer=None):
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     files = write_token_files(table(spark, folder, "documents"), path, target, end_id=END_ID)
     return checksums(files, target)
+
+
+@register.query()
+def op12_whitening(spark, folder):
+    """Every usable embedding on the 16 principal components of the distinct ones, at unit variance."""
+    return whiten(table(spark, folder, "embeddings"), 16)
