@@ -38,10 +38,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, *, by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back."""
+def written(df: DataFrame, name: str, *, by: list[str] | None = None, compression: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back; ``compression`` other than the session's."""
     path = fresh_path(df.sparkSession, name)
     writer = df.write.partitionBy(*by) if by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     # the schema is known, so no task has to open a file to infer it
     return df.sparkSession.read.schema(df.schema).parquet(path)
