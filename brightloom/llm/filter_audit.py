@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightloom.llm.term_matrix import row_sums, term_matrix
+from brightloom.llm.term_matrix import term_matrix
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -35,13 +35,12 @@ def failures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", part:
     flagged = docs.select(
         F.col(key).alias("key"),
         F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"),
-        F.sha2(whole.cast("binary"), 256).alias("body"),
+        F.unhex(F.sha2(whole.cast("binary"), 256)).alias("body"),
         (100 * F.regexp_count(whole, F.lit("[A-Z]")) > 3 * F.length(whole)).alias("shouting"),
         whole.rlike(MARKS).alias("marked"),
         whole.alias("text"),
     )
-    shards, _ = term_matrix(flagged)
-    return row_sums(shards).select(
+    return term_matrix(flagged).row_sums().select(
         "row.key",
         "row.part",
         "row.body",
@@ -80,9 +79,10 @@ def failure_counts(found: DataFrame, labels: DataFrame, *, key: str = "doc_id")
         # each key stands once, so the smallest one brings all its rows
         F.min(F.when(F.col("key").isNotNull(), rows)).alias("least"),
     )
-    smallest = groups.groupBy("body").agg(F.min("least.key").alias("smallest"))
+    # a text has at most four rows for each part by now
+    smallest = F.min("least.key").over(Window.partitionBy("body"))
     originals = F.col("unnamed") + F.when(F.col("least.key") == F.col("smallest"), F.col("least.n")).otherwise(0)
-    split = groups.join(smallest, "body").withColumn("originals", originals)
+    split = groups.withColumn("smallest", smallest).withColumn("originals", originals)
     copy = 1 << FILTERS.index("E")
     sides = F.explode(
         F.array(

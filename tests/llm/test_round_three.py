@@ -281,13 +281,13 @@ def test_deviations_beyond_a_long_are_null():
 
 
 def test_term_matrix_by_brute_force(spark):
-    shards, dictionary = term_matrix.term_matrix(brute.odd(spark).repartition(4))
-    numbers = {r.word: r.number for r in dictionary.collect()}
+    matrix = term_matrix.term_matrix(brute.odd(spark).repartition(4))
+    numbers = {r.word: r.number for r in matrix.dictionary.collect()}
     expected = Counter((k, tuple(sorted(Counter(brute.words(t)).items()))) for k, t, _, _ in brute.ODD)
     assert sorted(numbers.values()) == list(range(len({w for _, t, _, _ in brute.ODD for w in brute.words(t)})))
     names = {n: w for w, n in numbers.items()}
     found = Counter()
-    for r in shards.collect():
+    for r in matrix.shards().collect():
         indptr, indices, data = (np.frombuffer(b, k) for b, k in ((r.indptr, "<i8"), (r.indices, "<i8"), (r.data, "<i4")))
         assert len(r["rows"]) == len(indptr) - 1
         for row, a, b in zip(r["rows"], indptr, indptr[1:]):
@@ -296,14 +296,14 @@ def test_term_matrix_by_brute_force(spark):
     assert found == expected
 
 
-def test_many_shards_share_one_dictionary(spark, monkeypatch):
-    monkeypatch.setattr(term_matrix.text_slices, "__defaults__", (300,))
+def test_many_shards_share_one_dictionary(spark):
     docs = brute.odd(spark, [r for r in brute.ODD if r[0] != 14]).coalesce(1)
-    shards, dictionary = term_matrix.term_matrix(docs)
-    sums = term_matrix.row_sums(shards).select("row.doc_id", "n_words", "n_distinct").collect()
+    matrix = term_matrix.term_matrix(docs, shard_bytes=300)
+    sums = matrix.row_sums().select("row.doc_id", "n_words", "n_distinct").collect()
     expected = [(k, len(brute.words(t)), len(set(brute.words(t)))) for k, t, _, _ in brute.ODD if k != 14]
     assert Counter(map(tuple, sums)) == Counter(expected)
-    assert dictionary.count() == dictionary.select("word").distinct().count()
+    assert matrix.shards().count() > 5
+    assert matrix.dictionary.count() == matrix.dictionary.select("word").distinct().count()
 
 
 def audit_by_hand(rows, labels):
