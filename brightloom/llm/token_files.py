@@ -29,11 +29,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,12 +47,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from brightloom.llm import simple8b
 from brightloom.llm.simple8b import BLOCK, Coded
 from brightloom.llm.term_matrix import encoded_words, text_slices
-from brightloom.llm.textkit import import_here
+from brightloom.llm.textkit import bytes_where, import_here
 from brightloom.workspace import fresh_path, written
 
 MAGIC = b"IDS-S8B1"
-TEXT_BYTES = 4_000_000  # encoded at a time
-REMEMBERED_WORDS = 400_000
+TEXT_BYTES = 6_000_000  # encoded at a time
+REMEMBERED_WORDS = 1_000_000
+# fixed values: ASCII marks, none of which is a letter, a digit or white space
+MARKS = string.punctuation
+ALPHANUMERIC = bytes_where(lambda b: chr(b) in string.ascii_letters + string.digits)
 IDS_AT_ONCE = BLOCK * simple8b.BLOCKS_AT_ONCE
 FILES_PER_TASK_LIMIT = 8  # tasks to read files, for each shuffle partition
 
@@ -61,6 +67,32 @@ def store(folder: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.LocalFileSystem(), folder
 
 
+class Known:
+    """Ids of words, one word's after the other's in one array."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.lengths: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+
+    def add(self, words: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.places.update(zip(words, range(len(self.places), len(self.places) + len(words))))
+        self.lengths.append(lengths)
+        self.ids.append(ids)
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word's ids begin, how many they are, and all ids."""
+        self.lengths = [np.concatenate([np.empty(0, np.int64), *self.lengths])]
+        self.ids = [np.concatenate([np.empty(0, np.uint32), *self.ids])]
+        return np.cumsum(self.lengths[0]) - self.lengths[0], self.lengths[0], self.ids[0]
+
+
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places ``begin, begin + 1, ...`` of runs, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(begins - before, lengths) + np.arange(lengths.sum())
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer file; remembers the ids of words, within a bound."""
 
@@ -77,40 +109,88 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """The ids of each word."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
-            new = words
-        fresh: dict[str, np.ndarray] = {}
-        for at in range(0, len(new), 5_000):
-            part = new[at : at + 5_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            fresh.update((w, np.array(f.ids, np.uint32)) for w, f in zip(part, found))
-        out = [self.known[w] if w in self.known else fresh[w] for w in words]
-        self.known.update(fresh)
-        return out
+        self.known = Known()
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The places of distinct words in ``known``, which learns the new ones; with too many it starts anew."""
+        places = self.known.places
+        if len(places) > REMEMBERED_WORDS:
+            self.known = Known()
+            places = self.known.places
+        new = [w for w in words if w not in places]
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
+            found = [f.ids for f in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            self.known.add(part, lengths, np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()))
+        return np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of some distinct words has, and all ids.
+
+        Most words are a letter or digit with marks after it. These are encoded apart, as the tokenizer does, and in
+        lower case where a word is ASCII, so that fewer are new.
+        """
+        plain = pc.invert(pc.match_substring(words, "<|"))  # a part of an added token is not a word's own
+        ascii_only = pc.and_(plain, pc.string_is_ascii(words))
+        cores = pc.if_else(ascii_only, pc.ascii_lower(words), words)
+        stems = pc.utf8_rtrim(cores, MARKS)
+        ends = _last_bytes(stems)
+        apart = pc.and_(plain, pa.array(ALPHANUMERIC[ends]))
+        cores = pc.if_else(apart, stems, cores)
+        tails = pc.binary_length(words).to_numpy() - pc.binary_length(cores).to_numpy()
+        marks = _suffixes(words, tails)
+
+        both = [pc.dictionary_encode(c) for c in (cores, marks)]
+        parts = [self._places(e.dictionary.to_pylist()) for e in both[:1]]
+        first = self.known
+        parts += [self._places(both[1].dictionary.to_pylist())]
+        if self.known is not first:  # it has just started anew
+            parts[0] = self._places(both[0].dictionary.to_pylist())
+        begins, lengths, ids = self.known.table()
+        pairs = np.column_stack([p[e.indices.to_numpy()] for p, e in zip(parts, both)]).reshape(-1)
+        return lengths[pairs].reshape(-1, 2).sum(axis=1), ids[_runs(begins[pairs], lengths[pairs])]
 
     def texts(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each has, the closing id included."""
         indices, n_words, words = encoded_words(texts)
-        ids = self.words(words.to_pylist())
-        if end_id is not None:  # one more word that ends each text
-            ids.append(np.array([end_id], np.uint32))
-            ends = np.cumsum(n_words)
-            indices = np.insert(indices.astype(np.int64), ends, len(ids) - 1)
-            n_words = n_words + 1
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        lengths, flat = self.words(words)
         begins = np.cumsum(lengths) - lengths
+        if end_id is not None:  # one more word that ends each text
+            begins, lengths = np.append(begins, len(flat)), np.append(lengths, 1)
+            flat = np.append(flat, np.uint32(end_id))
+            closed = np.full(len(indices) + len(texts), len(lengths) - 1, np.int64)
+            closed[np.arange(len(indices)) + np.repeat(np.arange(len(texts)), n_words)] = indices
+            indices, n_words = closed, n_words + 1
         counts = lengths[indices]
         sums = np.concatenate(([0], np.cumsum(counts)))
-        places = np.repeat(begins[indices] - sums[:-1], counts) + np.arange(sums[-1])
         bounds = np.concatenate(([0], np.cumsum(n_words)))
-        return flat[places], np.diff(sums[bounds])
+        return flat[_runs(begins[indices], counts)], np.diff(sums[bounds])
+
+
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return bounds, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(1, np.uint8)
+
+
+def _last_bytes(texts: pa.Array) -> np.ndarray:
+    """The last byte of each text, 0 of an empty one."""
+    if not len(texts):
+        return np.empty(0, np.uint8)
+    bounds, data = _buffers(texts)
+    return np.where(bounds[1:] > bounds[:-1], data[np.maximum(bounds[1:] - 1, 0)], 0)
+
+
+def _suffixes(texts: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """The last bytes of each text, which are ASCII."""
+    if not len(texts):
+        return pa.array([], pa.large_string())
+    bounds, data = _buffers(texts)
+    kept = np.ascontiguousarray(data[_runs(bounds[1:] - lengths, lengths)])
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(kept))
 
 
 def checked(path: str) -> str:
