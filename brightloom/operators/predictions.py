@@ -16,6 +16,14 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
     )
 
 
+def create_daily_table(spark: SparkSession, name: str, path: str) -> None:
+    """The same with a folder for each day and load, so that a load becomes visible as a whole."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (timestamp TIMESTAMP, message STRING, prediction STRING, day DATE, load STRING) "
+        f"USING parquet PARTITIONED BY (day, load) LOCATION '{path}'"
+    )
+
+
 def append(df: DataFrame, table: str) -> None:
     """Append ``message, prediction`` with the time of storing, unless rows bring a ``timestamp``.
 

@@ -81,9 +81,13 @@ def read_topic(spark: SparkSession, servers: str, topic: str, *, max_offsets: in
     )
     if max_offsets is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select(
-        F.col("value").cast("string").alias("value"), "topic", "partition", "offset"
-    )
+    return topic_columns(reader.load())
+
+
+def topic_columns(records: DataFrame) -> DataFrame:
+    """What later steps use of a topic's records: key and value as text, place, and the topic's own time."""
+    texts = (F.col(name).cast("string").alias(name) for name in ("key", "value"))
+    return records.select(*texts, "topic", "partition", "offset", F.col("timestamp").alias("topic_time"))
 
 
 def read_split(spark: SparkSession, path: str, part: str) -> DataFrame:
