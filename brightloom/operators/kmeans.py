@@ -6,6 +6,7 @@ grows from one to the next. Each pass is one aggregation with map-side combine b
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -117,20 +118,39 @@ def lloyd_run(
     return LloydRun(centres, sizes, costs, len(costs), False)
 
 
+def _constant(value: object, kind: str) -> Column:
+    """A nested constant as one literal of the plan, however many numbers it has; ``repr`` keeps every digit."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, v: total + v)
+
+
+def _distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, v: total + v)
+
+
 def _each_k(centres: Mapping[int, Sequence[Centre]]) -> Column:
-    """The nearest centre of each set: ``k, cluster, distance``."""
-    found = ((k, nearest(F.col("values"), own)) for k, own in centres.items())
-    return F.array(*(F.struct(F.lit(k).alias("k"), n[CLUSTER].alias(CLUSTER), n["distance"].alias("distance")) for k, n in found))
+    """The nearest centre of each set: ``k, cluster, distance``; the lower number on a tie."""
+    sets = [{"k": k, "centres": [[float(v) for v in c] for c in own]} for k, own in centres.items()]
+
+    def closest(own: Column) -> Column:
+        found = F.transform(
+            own["centres"], lambda c, i: F.struct(_distance(F.col("values"), c).alias("distance"), i.cast("int").alias(CLUSTER))
+        )
+        return F.struct(own["k"].alias("k"), F.array_min(found).alias("near"))
+
+    return F.transform(_constant(sets, "array<struct<k: int, centres: array<array<double>>>>"), closest)
 
 
 def _shared_pass(rows: DataFrame, centres: Mapping[int, Sequence[Centre]]) -> dict[int, dict[int, dict]]:
     """Sizes, means, squares and costs of the clusters of all sets, in one scan."""
     found = rows.select("values", F.inline(_each_k(centres)))
-    square = F.aggregate("values", F.lit(0.0), lambda total, v: total + v * v)
-    sums = found.groupBy("k", CLUSTER).agg(
+    sums = found.groupBy("k", F.col(f"near.{CLUSTER}").alias(CLUSTER)).agg(
         F.count(F.lit(1)).alias("size"),
-        F.sum("distance").alias("cost"),
-        F.sum(square).alias("squares"),
+        F.sum("near.distance").alias("cost"),
+        F.sum(_dot(F.col("values"), F.col("values"))).alias("squares"),
         vector_to_array(Summarizer.mean(array_to_vector("values"))).alias("mean"),
     )
     out: dict[int, dict[int, dict]] = {k: {} for k in centres}
@@ -143,27 +163,31 @@ def _shared_pass(rows: DataFrame, centres: Mapping[int, Sequence[Centre]]) -> di
 def _silhouettes(rows: DataFrame, centres: Mapping[int, Sequence[Centre]], sums: Mapping[int, Mapping[int, dict]]) -> DataFrame:
     """The mean silhouette of each set by squared distance, from the sums of its clusters, in one scan."""
 
-    def distances(own: Mapping[int, dict]) -> Column:
-        square = F.aggregate("values", F.lit(0.0), lambda total, v: total + v * v)
-
-        def mean_distance(cluster: int, s: dict) -> Column:
-            mean = F.array(*(F.lit(float(v)) for v in s["mean"]))
-            product = F.aggregate(F.zip_with("values", mean, lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
-            distance = square - 2 * product + F.lit(s["squares"] / s["size"])
-            return F.struct(F.lit(cluster).alias(CLUSTER), distance.alias("distance"), F.lit(s["size"]).cast("long").alias("size"))
-
-        return F.array(*(mean_distance(c, s) for c, s in sorted(own.items())))
-
-    each = F.array(
-        *(
-            F.struct(F.lit(k).alias("k"), nearest(F.col("values"), own)[CLUSTER].alias("own"), distances(sums[k]).alias("to"))
-            for k, own in centres.items()
+    kind = f"array<struct<{CLUSTER}: int, size: long, mean: array<double>, square: double>>"
+    known = [
+        {"k": k, "own": [{CLUSTER: c, "size": s["size"], "mean": list(s["mean"]), "square": s["squares"] / s["size"]} for c, s in own.items()]}
+        for k, own in sums.items()
+    ]
+
+    def to_all(of_k: Column) -> Column:
+        values = F.col("values")
+        return F.transform(
+            of_k["own"],
+            lambda c: F.struct(
+                c[CLUSTER].alias(CLUSTER),
+                c["size"].alias("size"),
+                (_dot(values, values) - 2 * _dot(values, c["mean"]) + c["square"]).alias("distance"),
+            ),
         )
-    )
-    sides = rows.select("values", F.inline(each)).select(
-        "k",
-        F.filter("to", lambda t: t[CLUSTER] == F.col("own"))[0].alias("home"),
-        F.array_min(F.transform(F.filter("to", lambda t: t[CLUSTER] != F.col("own")), lambda t: t["distance"])).alias("b"),
+
+    to = F.transform(_constant(known, f"array<struct<k: int, own: {kind}>>"), to_all)
+    both = F.arrays_zip(_each_k(centres).alias("of"), to.alias("to"))
+    sides = rows.select("values", F.inline(both)).select(
+        F.col("of.k").alias("k"),
+        F.filter("to", lambda t: t[CLUSTER] == F.col(f"of.near.{CLUSTER}"))[0].alias("home"),
+        F.array_min(
+            F.transform(F.filter("to", lambda t: t[CLUSTER] != F.col(f"of.near.{CLUSTER}")), lambda t: t["distance"])
+        ).alias("b"),
     )
     size = F.col("home.size")
     a = F.col("home.distance") * size / (size - 1)
