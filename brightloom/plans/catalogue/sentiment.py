@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.operators.bayes import TextClassifier, class_priors
-from brightloom.operators.features import TfidfModel, vocabulary, with_idf, with_tokens
-from brightloom.operators.splits import TEST, TRAIN, train_test_split as split_rows
+from brightloom.operators.features import TfidfModel, certified_vocabulary, vocabulary, with_idf, with_tokens
+from brightloom.operators.splits import TEST, TRAIN, exact_train_test_split, train_test_split as split_rows
 from brightloom.plans import text_jobs as J
+from brightloom.operators.metrics import accuracy_by
 from brightloom.plans.catalogue.metrics import SQL_REPORT_ROWS, report_rows, sql_report
 from brightloom.plans.catalogue.registry import Register, rounded, table
 from brightloom.plans.catalogue.texts import SQL_STOP_WORDS, sql_tokens
-from brightloom.sources.readers import read_split
+from brightloom.sources.readers import read_case_documents, read_split
 from brightloom.sources.writers import write_split
 from brightloom.workspace import fresh_path
 
@@ -114,6 +115,21 @@ def split_roundtrip(spark, folder):
     return sides[0].unionByName(sides[1]).select("doc_id", "label", "text", "split")
 
 
+@register.query(
+    "SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT, doc_id)"
+    " <= (count(*) OVER () * 20 + 99) // 100 THEN 'test' ELSE 'train' END AS split FROM documents"
+)
+def train_test_split_exact(spark, folder):
+    """A test side of exactly a fifth of the rows, rounded up."""
+    return exact_train_test_split(table(spark, folder, "documents").select("doc_id"), "doc_id", few_rows=50)
+
+
+@register.query(f"{SQL_BY_LANG} SELECT term, term_count FROM vocabulary")
+def vocabulary_certified(spark, folder):
+    """The vocabulary from a sketch and a recount, where that is proved to be all."""
+    return certified_vocabulary(training_tokens(spark, folder)).select("term", "term_count")
+
+
 @register.query(f"{SQL_BY_LANG} SELECT term, term_count FROM vocabulary")
 def vocabulary_topk(spark, folder):
     return vocabulary(training_tokens(spark, folder)).select("term", "term_count")
@@ -245,3 +261,66 @@ def score_messages(spark, folder):
     model = fitted(prepared(by_lang(spark, folder)))
     messages = table(spark, folder, "conversations").select("conv_id", "turn", "text")
     return J.score_messages(messages, "text", model).select("conv_id", "turn", "prediction")
+
+
+#: Labels of test cases are whole numbers; these keep the order of the languages' names.
+LANG_CODE = "CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END"
+CASE_SIZE = 20
+#: What is wrong with some of the documents, by the remainder of their number by ten.
+CASE_FAULTS = {
+    0: "no valid JSON",
+    1: "no X",
+    2: "no y",
+    3: "other keys in X than in y",
+    4: "a key that is no whole number",
+    5: "a label that is no whole number",
+}
+SQL_FAULT = " ".join(f"WHEN {number} THEN '{reason}'" for number, reason in CASE_FAULTS.items())
+
+
+@register.query(
+    f"""{SQL_PREDICTED}, cases AS (
+        SELECT doc_id, doc_id // {CASE_SIZE} AS number, p.label = p.prediction AS hit FROM predicted p)
+    SELECT number, count(*) AS messages, CASE number % 10 {SQL_FAULT} END AS reason,
+        CASE WHEN number % 10 >= {len(CASE_FAULTS)} THEN round(avg(CASE WHEN hit THEN 1.0::DOUBLE ELSE 0 END), 6) END AS accuracy
+    FROM cases GROUP BY number"""
+)
+def evaluate_test_cases(spark, folder):
+    """Accuracy of a fitted classifier on each test-case file, and the reason of each file that is rejected."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", F.expr(LANG_CODE).alias("label"))
+    model = fitted(prepared(documents))
+    held_out = split_rows(documents, "doc_id").where(F.col("split") == TEST)
+    numbered = held_out.withColumn("number", F.expr(f"doc_id div {CASE_SIZE}"))
+    path = fresh_path(spark, "test-cases")
+    write_case_files(numbered, path)
+
+    messages, rejects = read_case_documents(spark, path)
+    scored = J.score_messages(messages, "text", model)
+    number = F.regexp_extract("file", r"number=(\d+)", 1).cast("long").alias("number")
+    accuracy = accuracy_by(scored.withColumn("number", number), "number").withColumn("reason", F.lit(None).cast("string"))
+    both = accuracy.select("number", "reason", rounded("accuracy").alias("accuracy")).unionByName(
+        rejects.select(number, "reason", F.lit(None).cast("double").alias("accuracy"))
+    )
+    return numbered.groupBy("number").agg(F.count(F.lit(1)).alias("messages")).join(both, "number", "left")
+
+
+def write_case_files(numbered: DataFrame, path: str) -> None:
+    """A file for each ``number``, of at most ``CASE_SIZE`` messages; some have the faults of ``CASE_FAULTS``."""
+    fault = F.col("number") % 10
+    key = F.when(fault == 4, F.concat(F.lit("k"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    other = F.when(fault == 3, F.concat(key, F.lit("0"))).otherwise(key)
+    label = F.when(fault == 5, F.lit("positive")).otherwise(F.col("label").cast("string"))
+    pairs = numbered.select("number", key.alias("key"), other.alias("other"), "text", label.alias("label"))
+    grouped = pairs.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("key", "other", "text", "label"))).alias("rows"))
+
+    def column(name: str):
+        return F.transform("rows", lambda r: r[name])
+
+    parts = grouped.select(
+        "number",
+        F.when(fault != 1, F.array(F.map_from_arrays(column("key"), column("text")))).alias("X"),
+        F.when(fault != 2, F.array(F.map_from_arrays(column("other"), column("label")))).alias("y"),
+    )
+    whole = F.to_json(F.struct("X", "y"))
+    value = F.when(fault == 0, F.substring(whole, 1, 20)).otherwise(whole)
+    parts.select("number", value.alias("value")).repartition("number").write.partitionBy("number").text(path)

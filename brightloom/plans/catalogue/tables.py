@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brightloom.operators import columns as C
 from brightloom.operators import medians as M
+from brightloom.operators import sketches as K
 from brightloom.plans import table_jobs
 from brightloom.plans.catalogue.registry import Register, rounded, table
 from brightloom.sources.readers import read_delimited
@@ -216,3 +217,21 @@ def clean_wide_file(spark, folder):
     table_jobs.clean_wide_file(spark, given, cleaned, source.schema.simpleString()[7:-1].replace(":", " "), 1, exact=True)
     back = read_delimited(spark, cleaned, ", ".join(f"{c} double" for c in GAPPY))
     return back.select(*(rounded(c).alias(c) for c in GAPPY))
+
+
+#: Sketches of twice the size, so that the bound holds for as good as all of them and not for 99 of 100.
+CHECKED_SIZE = 1600
+
+
+@register.query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, TRUE AS within FROM ({SQL_GAPPY})" for c in GAPPY))
+def median_rank_check(spark, folder):
+    """Whether medians of stored and merged sketches have the rank they should; the table arrives in two files."""
+    source, path = fresh_path(spark, "gappy"), fresh_path(spark, "sketches")
+    rows = gappy(spark, folder)
+    small = F.coalesce(F.col("quantity") < 15, F.lit(False))
+    for part in (rows.where(small), rows.where(~small)):
+        part.write.mode("append").parquet(source)
+        table_of_files = K.with_file(spark.read.schema(rows.schema).parquet(source))
+        stored = K.store_sketches(spark, table_of_files, list(GAPPY), path, CHECKED_SIZE)
+    medians = K.sketched_medians(stored, list(GAPPY), CHECKED_SIZE)
+    return K.rank_check(rows, medians, K.rank_error(CHECKED_SIZE // 2))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -67,6 +67,45 @@ def read_test_cases(spark: SparkSession, path: str, *, one_per_file: bool = True
     )
 
 
+def read_case_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Test cases of one document a file: the messages ``file, id, text, label``, and the files that have none, ``file, reason``.
+
+    Every file is in exactly one of the two. A document is rejected as a whole if it is no JSON (or repeats a key), has no
+    ``X`` or no ``y``, has other keys in one than in the other, or has a key or a label that is no whole number.
+    """
+    # unlike a reader of texts, this one also shows files without content
+    whole = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("content").cast("string").alias("value"))
+    kinds = "struct<X: array<map<string, string>>, y: array<map<string, string>>>"
+    # broken texts are set aside first, since the second parser stops at a repeated key
+    parsed = whole.withColumn("document", F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", kinds)))
+    texts, labels = F.get("document.X", F.lit(0)), F.get("document.y", F.lit(0))
+    cases = parsed.select("file", "document", texts.alias("texts"), labels.alias("labels"))
+
+    def whole_number(text: Column) -> Column:
+        return text.try_cast("int").isNotNull()
+
+    def missing(part: str) -> Column:
+        return F.coalesce(F.size(part) <= 0, F.lit(True))
+
+    def all_keys(part: str) -> Column:
+        return F.array_sort(F.map_keys(part))
+
+    reason = (
+        F.when(F.col("document").isNull(), "no valid JSON")
+        .when(missing("texts"), "no X")
+        .when(missing("labels"), "no y")
+        .when(all_keys("texts") != all_keys("labels"), "other keys in X than in y")
+        .when(F.exists(F.map_keys("texts"), lambda k: ~whole_number(k)), "a key that is no whole number")
+        .when(F.exists(F.map_values("labels"), lambda v: ~whole_number(v)), "a label that is no whole number")
+    )
+    judged = cases.withColumn("reason", reason)
+    messages = judged.where("reason IS NULL").select("file", "labels", F.explode("texts").alias("key", "text"))
+    kept = messages.select(
+        "file", F.col("key").cast("int").alias("id"), "text", F.col("labels")[F.col("key")].cast("int").alias("label")
+    )
+    return kept, judged.where("reason IS NOT NULL").select("file", "reason")
+
+
 def in_key_order(cases: DataFrame) -> DataFrame:
     return cases.orderBy("source", "id")
 
