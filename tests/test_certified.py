@@ -141,7 +141,7 @@ def test_case_documents(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps(content, indent=1))
     (tmp_path / "broken.json").write_text('{"X": [{"1": "a"}], ')
     (tmp_path / "repeated.json").write_text('{"X": [{"1": "a", "1": "b"}], "y": [{"1": 1}]}')
-    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "blank.json").write_text("\n")
     messages, rejects = read_case_documents(spark, str(tmp_path))
 
     def name(row):
@@ -161,7 +161,7 @@ def test_case_documents(spark, tmp_path):
         "null label": "a label that is no whole number",
         "broken": "no valid JSON",
         "repeated": "no valid JSON",
-        "empty": "no valid JSON",
+        "blank": "no valid JSON",
     }
 
 
