@@ -265,15 +265,16 @@ def score_messages(spark, folder):
 
 #: Labels of test cases are whole numbers; these keep the order of the languages' names.
 LANG_CODE = "CASE lang WHEN 'de' THEN 0 WHEN 'en' THEN 1 WHEN 'es' THEN 2 WHEN 'fr' THEN 3 ELSE 4 END"
-CASE_SIZE = 20
+#: Neighbouring keys in a file, of which a fifth are test documents.
+CASE_SIZE = 200
 #: What is wrong with some of the documents, by the remainder of their number by ten.
 CASE_FAULTS = {
-    0: "no valid JSON",
-    1: "no X",
-    2: "no y",
-    3: "other keys in X than in y",
-    4: "a key that is no whole number",
-    5: "a label that is no whole number",
+    1: "no valid JSON",
+    2: "no X",
+    3: "no y",
+    5: "other keys in X than in y",
+    7: "a key that is no whole number",
+    9: "a label that is no whole number",
 }
 SQL_FAULT = " ".join(f"WHEN {number} THEN '{reason}'" for number, reason in CASE_FAULTS.items())
 
@@ -282,7 +283,7 @@ SQL_FAULT = " ".join(f"WHEN {number} THEN '{reason}'" for number, reason in CASE
     f"""{SQL_PREDICTED}, cases AS (
         SELECT doc_id, doc_id // {CASE_SIZE} AS number, p.label = p.prediction AS hit FROM predicted p)
     SELECT number, count(*) AS messages, CASE number % 10 {SQL_FAULT} END AS reason,
-        CASE WHEN number % 10 >= {len(CASE_FAULTS)} THEN round(avg(CASE WHEN hit THEN 1.0::DOUBLE ELSE 0 END), 6) END AS accuracy
+        CASE WHEN number % 10 NOT IN ({", ".join(map(str, CASE_FAULTS))}) THEN round(avg(CASE WHEN hit THEN 1.0::DOUBLE ELSE 0 END), 6) END AS accuracy
     FROM cases GROUP BY number"""
 )
 def evaluate_test_cases(spark, folder):
@@ -307,9 +308,9 @@ def evaluate_test_cases(spark, folder):
 def write_case_files(numbered: DataFrame, path: str) -> None:
     """A file for each ``number``, of at most ``CASE_SIZE`` messages; some have the faults of ``CASE_FAULTS``."""
     fault = F.col("number") % 10
-    key = F.when(fault == 4, F.concat(F.lit("k"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
-    other = F.when(fault == 3, F.concat(key, F.lit("0"))).otherwise(key)
-    label = F.when(fault == 5, F.lit("positive")).otherwise(F.col("label").cast("string"))
+    key = F.when(fault == 7, F.concat(F.lit("k"), "doc_id")).otherwise(F.col("doc_id").cast("string"))
+    other = F.when(fault == 5, F.concat(key, F.lit("0"))).otherwise(key)
+    label = F.when(fault == 9, F.lit("positive")).otherwise(F.col("label").cast("string"))
     pairs = numbered.select("number", key.alias("key"), other.alias("other"), "text", label.alias("label"))
     grouped = pairs.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("key", "other", "text", "label"))).alias("rows"))
 
@@ -318,9 +319,9 @@ def write_case_files(numbered: DataFrame, path: str) -> None:
 
     parts = grouped.select(
         "number",
-        F.when(fault != 1, F.array(F.map_from_arrays(column("key"), column("text")))).alias("X"),
-        F.when(fault != 2, F.array(F.map_from_arrays(column("other"), column("label")))).alias("y"),
+        F.when(fault != 2, F.array(F.map_from_arrays(column("key"), column("text")))).alias("X"),
+        F.when(fault != 3, F.array(F.map_from_arrays(column("other"), column("label")))).alias("y"),
     )
     whole = F.to_json(F.struct("X", "y"))
-    value = F.when(fault == 0, F.substring(whole, 1, 20)).otherwise(whole)
+    value = F.when(fault == 1, F.substring(whole, 1, 20)).otherwise(whole)
     parts.select("number", value.alias("value")).repartition("number").write.partitionBy("number").text(path)
