@@ -32,7 +32,7 @@ _ip = re.compile(r"[0-9]+(?:\.[0-9]+){3}").match
 _card = re.compile(r"[0-9](?:[ -]?[0-9])+").match
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").match
 _link = re.compile(r"://[^\s<>\"'|]+").match
-_identifier = re.compile(r"(?:\s?(?:no|nr|number|id)\b\.?)?\s?[:=#]\s?[\"']?([A-Za-z0-9][A-Za-z0-9-]{5,63})", re.I).match
+_identifier = re.compile(r"(?:\s?(?:no|nr|number|id)\b\.?)?\s?[:=#]\s?[\"']?([A-Za-z0-9](?:[A-Za-z0-9_./+-]{4,}[A-Za-z0-9]))", re.I).match
 _house = re.compile(r"([0-9]{1,5}[A-Za-z]?,? (?:[^\W\d_][\w'-]*\.? ){1,4})\Z").search
 
 _CUES = "account acct iban bic ssn passport licence license token password passwd secret api_key apikey customer tax".split()
