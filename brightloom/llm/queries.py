@@ -160,8 +160,9 @@ def op9_language_model(spark, folder):
         "n_known",
         F.lit(int(sums["customers"])).cast("long").alias("train_tokens"),
         "base_score",
-        "score",
-        "spelled_score",
+        # the spelling of unseen words counts, and not only that they are unseen
+        F.col("spelled_score").alias("score"),
+        F.col("score").alias("event_score"),
     )
 
 
