@@ -3,6 +3,7 @@
 import re
 import zlib
 from collections import Counter
+from functools import cache
 from itertools import permutations
 
 import brute
@@ -50,11 +51,15 @@ def test_words_are_as_full_as_they_can_be():
 # token files
 
 
-def encoded(texts):
+@cache
+def library():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)
-    return [[*f.ids, 2] for f in found]
+    return Tokenizer.from_file(WORDS)
+
+
+def encoded(texts):
+    return [[*f.ids, 2] for f in library().encode_batch(texts, add_special_tokens=False)]
 
 
 def expected_files(rows):
