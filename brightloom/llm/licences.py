@@ -111,7 +111,8 @@ def licences(
     added = ("licence", "similarity", "via", "inherited_from")
     kept = [c for c in files.columns if c != text and c.lower() not in added]
     named = files.select(
-        *kept,
+        # one value, so that no column of it can clash
+        F.struct(*kept).alias("_row"),
         F.coalesce(path, F.lit("")).alias("_path"),
         F.col(text).cast("string").alias("_text"),
         F.xxhash64(F.col(text).cast("string")).alias("_body"),
@@ -133,7 +134,7 @@ def licences(
     own = F.col("licence").isNotNull()
     via = F.when(own, "own").when(F.col("_licence").isNotNull(), "folder").otherwise("none")
     return both.select(
-        *kept,
+        *(F.col("_row")[c].alias(c) for c in kept),
         F.coalesce("licence", "_licence").alias("licence"),
         F.when(own, F.col("similarity")).otherwise(F.col("_similarity")).alias("similarity"),
         via.alias("via"),

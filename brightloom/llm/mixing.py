@@ -4,10 +4,11 @@ Every source has a rate: its share of the target bytes over the bytes it has. Ea
 its number of copies by inverting the Poisson distribution with that mean at a uniform number
 hashed from a seed, its key and its text; it is exploded into so many rows, and all copies get a
 place in one global order by a second hash. DataFrame functions only. A draw depends on nothing but
-the document and the rate, so that a lost task repeats it.
+the document and the rate, so that a lost task repeats it. Equal rows are counted before they are
+ordered and told apart only afterwards; a row travels as one value, so no column of it can clash.
 
 Defined results: a null text counts as an empty one and null sources as one source; null or
-repeated keys are rows like any others; a source without a weight, or of weight 0, gets no copies; an
+repeated keys and repeated rows are rows like any others; a source without a weight, or of weight 0, gets no copies; an
 empty table gives no rows. Columns of the input named like an added one are replaced.
 """
 
@@ -17,8 +18,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightloom.llm.numbering import fraction, hash_of, joined_by_source, n_cells, numbered
+from brightloom.workspace import written
 
 ROW_BYTES = 16
+#: distributions of at most so many numbers (8 MB) are broadcast, a source's name counting as so many
+BROADCAST_VALUES = 1_000_000
+SOURCE_VALUES = 32
 
 
 def _source(name: str):
@@ -80,19 +85,36 @@ def mix(
     added = {"rate", "n_copies", "copy", "position"}
     kept = [c for c in docs.columns if c.lower() not in added]
     crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    drawn = (
-        docs.select(*kept, _source(source).alias("_source"), crc.alias("_crc"))
-        .withColumn("_draw", hash_of(seed, "copies", F.col(key), F.col("_crc")))
+    rows = docs.select(
+        F.struct(*kept).alias("_row"), F.col(key).alias("_key"), _source(source).alias("_source"), crc.alias("_crc")
+    )
+    distinct = (
+        rows.groupBy(*rows.columns)
+        .agg(F.count("*").alias("_times"))
+        .withColumn("_draw", hash_of(seed, "copies", F.col("_key"), F.col("_crc")))
     )
     drawn = (
-        joined_by_source(drawn, distributions(rate), F.col("_draw"))
+        _with_steps(distinct, written(distributions(rate), "mixing-steps"))
         .withColumn("_uniform", fraction(F.col("_draw")))
-        .withColumn("n_copies", F.size(F.expr("filter(_steps, s -> s <= _uniform)")))
-        .where("n_copies > 0")
-        .select(*kept, "rate", "n_copies", "_crc", F.explode(F.expr("sequence(1, n_copies)")).alias("copy"))
-        .withColumn("_hash", hash_of(seed, "order", F.col(key), F.col("_crc"), F.col("copy")))
+        .withColumn("_n_copies", F.size(F.expr("filter(_steps, s -> s <= _uniform)")))
+        .where("_n_copies > 0")
+        .select("_row", "_key", "_crc", "_times", "rate", "_n_copies", F.explode(F.expr("sequence(1, _n_copies)")).alias("_copy"))
+        .withColumn("_hash", hash_of(seed, "order", F.col("_key"), F.col("_crc"), F.col("_copy")))
         .withColumn("_cell", F.floor(fraction(F.col("_hash")) * n_cells(docs.sparkSession)))
     )
-    return numbered(drawn, "position", [], "_cell", ["_hash", key, "_crc", "copy"]).select(
-        *kept, "rate", "n_copies", "copy", "position"
+    placed = numbered(drawn, "_first", [], "_cell", ["_hash", "_key", "_crc", "_copy"], times="_times")
+    return placed.withColumn("_more", F.explode(F.expr("sequence(0L, _times - 1)"))).select(
+        *(F.col("_row")[c].alias(c) for c in kept),
+        "rate",
+        F.col("_n_copies").alias("n_copies"),
+        F.col("_copy").alias("copy"),
+        (F.col("_first") + F.col("_more")).alias("position"),
     )
+
+
+def _with_steps(rows: DataFrame, steps: DataFrame) -> DataFrame:
+    """Rows with the distribution of their ``_source``: broadcast while it is small, or joined over salted keys."""
+    size = steps.agg(F.sum(F.size("_steps") + F.lit(SOURCE_VALUES))).first()[0] or 0
+    if size <= BROADCAST_VALUES:
+        return rows.join(F.broadcast(steps), "_source")
+    return joined_by_source(rows, steps, F.col("_draw"))

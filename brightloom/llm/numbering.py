@@ -32,20 +32,23 @@ def fraction(bits: Column) -> Column:
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**HASH_BITS))
 
 
-def numbered(df: DataFrame, name: str, group: list[str], cell: str, order: list[str]) -> DataFrame:
+def numbered(df: DataFrame, name: str, group: list[str], cell: str, order: list[str], *, times: str | None = None) -> DataFrame:
     """Add ``name``: the place from 0 of each row of a group, by cell and then by ``order``.
 
+    A row stands for ``times`` equal ones, where such a column is given: its place is that of the first of them.
     ``df`` is evaluated twice and must give the same rows both times; ``group`` and ``cell`` hold no nulls.
     """
     keys = [*group, cell]
     before = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     begins = (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
+        .agg((F.sum(times) if times else F.count("*")).alias("_n"))
         .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begins"))
     )
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.join(begins, keys).withColumn(name, F.col("_begins") + inside - 1).drop("_begins")
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(times).over(earlier), F.lit(0)) if times else F.row_number().over(ordered) - 1
+    return df.join(begins, keys).withColumn(name, F.col("_begins") + inside).drop("_begins")
 
 
 def joined_by_source(rows: DataFrame, sources: DataFrame, bits: Column) -> DataFrame:

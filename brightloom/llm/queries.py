@@ -41,9 +41,10 @@ SQL_CRC = """crcs AS (
 rows AS (SELECT doc_id, source, octet_length(encode(coalesce(d.text, ''))) + 16 AS size, crc,
     {_BITS.format("'0|' || doc_id || '|' || crc")} AS h
   FROM documents d JOIN crcs ON crcs.text = coalesce(d.text, '')),
-ranks AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1)::DOUBLE
-    / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS middle FROM rows),
-places AS (SELECT *, row_number() OVER (ORDER BY middle, source) - 1 AS position, count(*) OVER () AS n FROM ranks)
+ranks AS (SELECT *, ((row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1)::DOUBLE
+    + ({_BITS.format("'0|offset|=' || source")}::DOUBLE + 0.5) / 1152921504606846976.0::DOUBLE)
+    / (count(*) OVER (PARTITION BY source))::DOUBLE AS place FROM rows),
+places AS (SELECT *, row_number() OVER (ORDER BY place, source) - 1 AS position, count(*) OVER () AS n FROM ranks)
 SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law,
   (position * {N_SHARDS} // n)::INT AS shard,
   (row_number() OVER (PARTITION BY position * {N_SHARDS} // n ORDER BY position) - 1)::BIGINT AS slot,

@@ -49,6 +49,52 @@ def test_shards_match_the_mixture(spark):
     assert all(abs(r["hot"] - 80) <= 1 for r in by_shard)
 
 
+def test_many_sources_of_one_row_spread_over_all_shards(spark):
+    rows = [(k, f"text {k}", "en", "large" if k < 1000 else f"s{k}") for k in range(2000)]
+    placed = sharding.shards(brute.odd(spark, rows, extra=False), 40, carry=["source"])
+    large = placed.where("source = 'large'").groupBy("shard").count().collect()
+    assert len(large) == 40
+    # 25 of 50 rows on the mean, as a thousand hashed places fall
+    assert all(8 <= r["count"] <= 42 for r in large)
+
+
+CLASHES = ["_source", "_salt", "_cell", "_row", "_body", "_key", "_crc", "_hash", "_times", "_steps", "_copy", "_rank", "_n", "_path", "_text", "_folder"]
+
+
+def clashing(spark):
+    """The odd rows with a column of each name that the operators use inside."""
+    return brute.odd(spark).select("*", *(F.lit(f"given {c}").alias(c) for c in CLASHES))
+
+
+def test_given_columns_named_like_inner_ones_come_back(spark):
+    docs = clashing(spark)
+    given = tuple(f"given {c}" for c in CLASHES)
+    placed = sharding.shards(docs, 4, carry=docs.columns).select(*CLASHES).distinct().collect()
+    mixed = mixing.mix(docs, mixing.rates(docs, growth=5.0)).select(*CLASHES).distinct().collect()
+    files = licences.licences(docs.withColumn("path", F.concat(F.lit("p/"), "doc_id")))
+    assert [tuple(r) for r in placed] == [tuple(r) for r in mixed] == [given]
+    assert [tuple(r) for r in files.select(*CLASHES).distinct().collect()] == [given]
+
+
+def test_a_row_repeated_often_meets_in_no_task(spark):
+    docs = spark.range(100_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # the slots are asked for, or they would not be computed
+        by_task = sharding.shards(docs, 40).groupBy(F.spark_partition_id())
+        shares = by_task.agg(F.count("*").alias("count"), F.max("slot")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in shares) == 100_000 and max(r["count"] for r in shares) < 50_000
+    placed = sharding.shards(docs, 40).groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
+    assert {tuple(r)[1:] for r in placed.collect()} == {(2500, 2500, 2499)}
+    mixed = mixing.mix(docs, mixing.rates(docs, growth=3.0))
+    one = mixed.agg(F.count("*").alias("n"), F.countDistinct("position").alias("places"), F.max("position").alias("last"), F.max("n_copies").alias("m")).first()
+    assert one.n == one.places == one.last + 1 == 100_000 * one.m
+
+
 def test_written_shards(spark, tmp_path):
     sharding.write_shards(brute.odd(spark, extra=False), str(tmp_path / "out"), 3)
     back = spark.read.parquet(str(tmp_path / "out"))
