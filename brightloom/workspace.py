@@ -11,11 +11,13 @@ import re
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,4 +46,16 @@ def written(df: DataFrame, name: str, *, by: list[str] | None = None, compressio
     writer = df.write.partitionBy(*by) if by else df.write
     writer.parquet(path, compression=compression)
     # the schema is known, so no task has to open a file to infer it
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[back] = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave, once nothing reads them any more; other tables are left alone."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
