@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightloom.workspace import written
+from brightloom.workspace import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     now = written(edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v")).distinct(), "edges")
     before = None
     for _ in range(most_rounds):
-        now = written(_small_star(_large_star(now)), "stars")
+        last, now = now, written(_small_star(_large_star(now)), "stars")
+        discard(last)
         signature = _signature(now)
         if signature == before:
             break

@@ -5,11 +5,12 @@ node of the graph. Shingles are hashed into groups, and a set's counts by group
 over the groups of the smaller count bounds the overlap of two sets from above. Points that share a
 shingle among the rarest of each set (any two similar sets do) are packed into an R-tree, whose
 nodes keep the largest count of each group and the smallest size; a pair of nodes is entered only if
-the bound of their corners leaves room for a link, and pairs of points that survive it are verified
-on the sets themselves.
+the bound of their corners leaves room for a link, pairs of points must also have room by counts of
+finer groups, and those that survive are verified on the sets themselves.
 
-Links inside a group of thousands of near copies are not needed one by one: each shared shingle
-first links its documents to the smallest of them, and the trees skip whatever is connected by then.
+Links inside a group of thousands of near copies are not needed one by one: each document is first
+compared with the one that is the smallest under most of its shingles; then each shingle whose documents are not yet
+connected compares them with the smallest of them and with one more, and the trees skip whatever is connected by then.
 Shingles that very many documents have are found by counting all of them into fixed slots, and come
 last in the order by rarity. The order only affects speed: any order finds every link.
 
@@ -41,7 +42,7 @@ from brightloom.llm.textkit import (
     mix,
     window_hashes,
 )
-from brightloom.workspace import written
+from brightloom.workspace import discard, written
 
 SHINGLE = 5
 GROUPS = 16
@@ -85,13 +86,13 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
     """A row ``key, n, node, counts, fine`` for each document, and rows ``slot, seen`` for slots of frequent shingles.
 
-    ``counts`` is the point in the tree, ``fine`` counts by more groups.
+    ``counts`` is the point in the tree, ``fine`` has a byte for each of more groups: its count, or 255 if that is more.
 
     A task reports a slot that got far more shingles than slots do on the mean, so that what it
     reports stays small; a shingle of many documents stands out in every task.
     """
     import_here(docs)
-    schema = keyed(docs, [key], "n long, node long, counts array<int>, fine array<int>, slot long, seen long")
+    schema = keyed(docs, [key], "n long, node long, counts array<int>, fine binary, slot long, seen long")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +115,7 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
                     "n": list(map(len, sets)),
                     "node": [fingerprint(s) if len(s) else None for s in sets],
                     "counts": _vectors(sets, GROUPS),
-                    "fine": _vectors(sets, FINE_GROUPS),
+                    "fine": [np.minimum(point(s, FINE_GROUPS), 255).astype(np.uint8).tobytes() for s in sets],
                 }
                 yield rows(block.n_docs, **columns)
         mean = seen.mean()
@@ -205,6 +206,20 @@ def may_link(least_overlap: np.ndarray, size_a: np.ndarray, size_b: np.ndarray)
     return 9 * least_overlap >= 4 * (size_a + size_b)
 
 
+def fine_counts(column: pa.Array) -> np.ndarray:
+    """A row of counts for each value of ``fine``."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, FINE_GROUPS)
+
+
+def room(fine_a: np.ndarray, fine_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether sizes and finer counts leave room for a link; what lies above 255 counts as common as far as both have it."""
+    common = np.minimum(fine_a, fine_b).sum(axis=1, dtype=np.int64)
+    above_a = size_a - fine_a.sum(axis=1, dtype=np.int64)
+    above_b = size_b - fine_b.sum(axis=1, dtype=np.int64)
+    similar_size = 5 * np.minimum(size_a, size_b) >= 4 * np.maximum(size_a, size_b)
+    return similar_size & may_link(common + np.minimum(above_a, above_b), size_a, size_b)
+
+
 class RTree:
     """Points packed into nodes of ``LEAF`` by component and size; a node has corner, least size and common component."""
 
@@ -231,11 +246,11 @@ class RTree:
             keep = (a <= b) if depth else (a < b)
             keep &= (groups[a] != groups[b]) | (groups[a] < 0)
             a, b = a[keep], b[keep]
-            room = np.zeros(len(a), bool)
+            open_ = np.zeros(len(a), bool)
             for at in range(0, len(a), 100_000):
                 x, y = a[at : at + 100_000], b[at : at + 100_000]
-                room[at : at + 100_000] = may_link(np.minimum(counts[x], counts[y]).sum(axis=1), sizes[x], sizes[y])
-            a, b = a[room], b[room]
+                open_[at : at + 100_000] = may_link(np.minimum(counts[x], counts[y]).sum(axis=1), sizes[x], sizes[y])
+            a, b = a[open_], b[open_]
         return self.order[a], self.order[b]
 
     @staticmethod
@@ -248,11 +263,11 @@ class RTree:
 
 
 def surviving_pairs(points: DataFrame) -> DataFrame:
-    """``a, b`` from rows ``token, left, right, node, pivot, component, n, counts`` sorted by token and pages."""
+    """``a, b`` from rows ``token, left, right, node, pivot, component, n, counts, fine`` sorted by token and pages."""
     import_here(points)
     schema = "a long, b long"
 
-    def of_run(node, page, left, right, pivot, group, sizes, counts) -> tuple[np.ndarray, np.ndarray]:
+    def of_run(node, page, left, right, pivot, group, sizes, counts, fine) -> tuple[np.ndarray, np.ndarray]:
         _, first = np.unique(node, return_index=True)  # a node may come from several tasks
         # the smallest document has been compared with all of them
         first = first[node[first] != pivot]
@@ -262,12 +277,18 @@ def surviving_pairs(points: DataFrame) -> DataFrame:
         x, y = RTree(counts[first], sizes[first], groups).pairs()
         # two points of one page meet in that page's own tree
         across = (page[first][x] != page[first][y]) | (left == right)
-        x, y = node[first][x[across]], node[first][y[across]]
+        x, y = first[x[across]], first[y[across]]
+        kept = [np.zeros(0, bool)]
+        for at in range(0, len(x), 20_000):
+            p, q = x[at : at + 20_000], y[at : at + 20_000]
+            kept.append(room(fine[p], fine[q], sizes[p], sizes[q]))
+        kept = np.concatenate(kept)
+        x, y = node[x[kept]], node[y[kept]]
         return np.minimum(x, y), np.maximum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
-        for batch in [*_with_end(batches)]:
+        for batch in _with_end(batches):
             table = batch if rest is None else (pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0] if batch is not None else rest)
             if table is None or not len(table):
                 continue
@@ -276,10 +297,11 @@ def surviving_pairs(points: DataFrame) -> DataFrame:
             last = len(edges) - 1 if batch is None else len(edges) - 2
             node, page, pivot, group, sizes = (table.column(c).to_numpy() for c in ("node", "page", "pivot", "component", "n"))
             counts = table.column("counts").flatten().to_numpy().reshape(-1, GROUPS)
+            fine = fine_counts(table.column("fine"))
             found = []
             for k in np.flatnonzero(np.diff(edges[: last + 1]) > 1):
                 s = slice(edges[k], edges[k + 1])
-                found.append(of_run(node[s], page[s], keys[1][s][0], keys[2][s][0], pivot[s][0], group[s], sizes[s], counts[s]))
+                found.append(of_run(node[s], page[s], keys[1][s][0], keys[2][s][0], pivot[s][0], group[s], sizes[s], counts[s], fine[s]))
             if found:
                 a, b = map(np.concatenate, zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -295,34 +317,44 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sizes and finer counts leave room for a link."""
-    of_a = points.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("fine").alias("_fa"))
-    of_b = points.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("fine").alias("_fb"))
-    both = pairs.join(of_a, "a").join(of_b, "b").where("5 * least(_na, _nb) >= 4 * greatest(_na, _nb)")
-    overlap = "aggregate(zip_with(_fa, _fb, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
-    return both.where(f"9 * {overlap} >= 4 * (_na + _nb)").select("a", "b")
+    import_here(points)
+    of_a = points.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
+    of_b = points.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                sizes = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                kept = room(fine_counts(batch.column("fa")), fine_counts(batch.column("fb")), *sizes)
+                yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    return pairs.join(of_a, "a").join(of_b, "b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, points: DataFrame, text: str) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar."""
-    asked = written(bounded(pairs, points), "bounded-pairs")
+def verified(asked: DataFrame, docs: DataFrame, text: str, name: str) -> DataFrame:
+    """The pairs ``a, b`` of a written table whose sets are similar, written as ``name``."""
     nodes = asked.select(F.explode(F.array("a", "b")).alias("node"))
+    found = written(sets_of(docs, nodes, text), "shingle-sets")
     # equal sets come from several tasks; a link found twice is one link
-    sets = written(sets_of(docs, nodes, text), "shingle-sets").dropDuplicates(["node"])
+    sets = found.dropDuplicates(["node"])
     of_a = sets.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("shingles").alias("_sa"))
     of_b = sets.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("shingles").alias("_sb"))
     both = asked.join(of_a, "a").join(of_b, "b")
-    return both.where("9L * size(array_intersect(_sa, _sb)) >= 4 * (_na + _nb)").select("a", "b")
+    similar = both.where("9L * size(array_intersect(_sa, _sb)) >= 4 * (_na + _nb)").select("a", "b")
+    kept = written(similar, name)
+    discard(found, asked)
+    return kept
 
 
 def shared_tokens(tokens: DataFrame) -> DataFrame:
-    """``token, node, pivot`` of tokens that several nodes have; of tokens with the very same nodes only one."""
+    """``token, node, pivot, alike`` of tokens that several nodes have; of ``alike`` tokens with the very same nodes only one."""
     mixed = F.xxhash64("node") % (1 << 40)
     runs = (
         tokens.groupBy("token")
         .agg(F.min("node").alias("pivot"), F.max("node").alias("_last"), F.sum(mixed).alias("_sum"), F.bit_xor("node").alias("_xor"))
         .where("pivot < _last")
     )
-    chosen = runs.groupBy("pivot", "_last", "_sum", "_xor").agg(F.min("token").alias("token")).select("token", "pivot")
+    chosen = runs.groupBy("pivot", "_last", "_sum", "_xor").agg(F.min("token").alias("token"), F.count("*").alias("alike")).select("token", "pivot", "alike")
     return tokens.join(chosen, "token")
 
 
@@ -337,26 +369,30 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
     shared = written(shared_tokens(prefixes(docs, slot_weights(rows), text)), "shared-shingles")
     told = rows.where("node IS NOT NULL").groupBy("node")
     points = written(told.agg(*(F.first(c).alias(c) for c in ("n", "counts", "fine"))), "points")
-    stars = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    first = written(verified(stars, docs, points, text), "star-links")
-    # what the smallest document doesn't connect, another one may: one star more by a hashed choice
+    # each document and the one that is the smallest under most of its shingles
+    under = shared.where("node <> pivot").groupBy("node", "pivot").agg(F.sum("alike").alias("_times"))
+    nearest = under.groupBy("node").agg(F.max_by("pivot", F.struct("_times", -F.col("pivot"))).alias("a"))
+    stars = nearest.select("a", F.col("node").alias("b"))
+    first = verified(written(bounded(stars, points), "bounded-pairs"), docs, text, "star-links")
+    # shingles whose documents are not yet connected: the smallest of them, and one more by a hashed choice
     apart = _with_components(shared, components(first))
     hubs = (
         apart.groupBy("token")
         .agg(
             F.min_by(F.struct("node", "component"), F.xxhash64("node")).alias("_hub"),
+            F.min_by("component", "node").alias("_of_pivot"),
             F.min("component").alias("_low"),
             F.max("component").alias("_high"),
         )
         .where("_low < _high")
     )
-    more = (
-        apart.join(hubs.select("token", "_hub"), "token")
-        .where("component <> _hub.component AND node <> pivot AND _hub.node <> pivot")
-        .select(F.least("node", F.col("_hub.node")).alias("a"), F.greatest("node", F.col("_hub.node")).alias("b"))
-        .distinct()
+    open_ = apart.join(hubs, "token")
+    by_pivot = open_.where("component <> _of_pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    by_hub = open_.where("component <> _hub.component AND node <> pivot AND _hub.node <> pivot").select(
+        F.least("node", F.col("_hub.node")).alias("a"), F.greatest("node", F.col("_hub.node")).alias("b")
     )
-    first = written(first.union(verified(more, docs, points, text)), "more-star-links")
+    more = written(bounded(by_pivot.union(by_hub).distinct(), points), "bounded-pairs")
+    first = first.union(verified(more, docs, text, "more-star-links"))
     grouped = _with_components(shared, components(first))
     several = (
         grouped.groupBy("token")
@@ -370,12 +406,13 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
         .withColumn("page", F.pmod(F.xxhash64("node"), F.col("_pages")).cast("int"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _pages - 1)")))
         .select("token", "node", "pivot", "component", "page", left, right)
-        .join(points.select("node", "n", "counts"), "node")
+        .join(points, "node")
     )
     keys = ["token", "left", "right"]
     trees = surviving_pairs(paged.repartition(*keys).sortWithinPartitions(*keys))
-    second = verified(trees.distinct(), docs, points, text)
-    return documents, written(first.union(second), "links")
+    second = verified(written(trees.distinct(), "tree-pairs"), docs, text, "tree-links")
+    discard(shared, points)
+    return documents, first.union(second)
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -223,6 +223,47 @@ def test_near_duplicates_of_chains(spark):
     assert rows_of(found, "doc_id", "n_shingles", "component") == Counter(brute.components(rows))
 
 
+def test_large_group_around_the_threshold(spark):
+    """Copies with one to six changed words of sixty: similarities on both sides of 0.8, by brute force over all pairs."""
+    random = np.random.default_rng(11)
+    base, rows = [f"w{k}" for k in range(60)], []
+    for k in range(700):
+        copy = list(base)
+        for place in random.integers(0, 60, random.integers(1, 7)):
+            copy[place] = f"x{random.integers(0, 400)}"
+        rows.append((k, " ".join(copy), "en", "a"))
+    sets = [set(zip(*(t.split()[i:] for i in range(5)))) for _, t, _, _ in rows]
+    parent = list(range(700))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i in range(700):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    expected = {k: (len(sets[k]), root(k)) for k in range(700)}
+    assert 1 < len({c for _, c in expected.values()}) < 700
+    found = jaccard.near_duplicates(brute.odd(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component) for r in found} == expected
+
+
+def test_finer_counts_bound_the_overlap():
+    random = np.random.default_rng(5)
+    for _ in range(20):
+        pool = random.integers(0, 2**63, 90_000).astype(np.uint64)
+        pool[: 30_000] = pool[: 30_000] // 256 * 256  # one group far above a byte
+        a, b = (np.unique(pool[random.random(len(pool)) < 0.93]) for _ in range(2))
+        fine = [np.minimum(jaccard.point(s, jaccard.FINE_GROUPS), 255).astype(np.uint8)[None] for s in (a, b)]
+        common = len(np.intersect1d(a, b))
+        linked = 9 * common >= 4 * (len(a) + len(b))
+        assert jaccard.room(*fine, np.array([len(a)]), np.array([len(b)]))[0] >= linked
+
+
 def test_trees_keep_all_pairs_that_may_link():
     random = np.random.default_rng(5)
     sizes = random.integers(20, 60, 300)
