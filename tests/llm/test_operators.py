@@ -1,6 +1,8 @@
 """The operators on an odd table, on an empty one, and against plain Python on the given tables."""
 
 import hashlib
+import math
+import re
 from collections import Counter
 
 import brute
@@ -166,6 +168,103 @@ def test_licences(spark):
     )
 
 
+HEADERS = {
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "LGPL-3.0": """This library is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+}
+
+
+def test_wrapped_headers_and_whole_licences(spark):
+    code = "\n".join(f"value_{k} = compute_{k}(other_{k % 7}, {k})" for k in range(400))
+    rows = [(f"h/{name}.py", "#!/usr/bin/env python\n" + "".join(f"# {line}\n" for line in text.split("\n")) + code) for name, text in HEADERS.items()]
+    for name, notices in licences.TEMPLATES.items():
+        longest = max(notices, key=len)
+        words = f"Copyright (c) 2020 The Authors. All of them.\n\n{longest}\n\n{code}".split(" ")
+        rows.append((f"w/{name}/LICENSE", "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9))))
+        rows.append((f"w/{name}/deep/er/a.py", code))
+    rows += [(f"plain/{k}.py", f"{code}\nall rights to the road are disputed, and item {k} says so") for k in range(200)]
+    found = {r.path: r for r in licences.licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {n: found[f"h/{n}.py"].licence for n in HEADERS} == {n: n for n in HEADERS}
+    assert {n: found[f"w/{n}/LICENSE"].licence for n in licences.TEMPLATES} == {n: n for n in licences.TEMPLATES}
+    assert {n: found[f"w/{n}/deep/er/a.py"].licence for n in licences.TEMPLATES} == {n: n for n in licences.TEMPLATES}
+    assert {found[f"plain/{k}.py"].via for k in range(200)} == {"none"}
+
+
+def brute_similarity(rows, templates):
+    """The largest cosine of each text and the first notice that reaches it, window by window."""
+
+    def split(text):
+        return re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
+
+    notices = [(name, split(t)) for name in sorted(templates) for t in templates[name]]
+    lengths = []
+    for n in sorted({len(w) for _, w in notices}):
+        if not lengths or n >= licences.SPREAD * lengths[-1]:
+            lengths.append(n)
+    cues = set(licences.CUES.split())
+    passages = []
+    for path, text in rows:
+        words, found = split(text or ""), set()
+        at = 0
+        for line in (text or "").split("\n"):
+            end = at + len(split(line))
+            if cues & set(words[at:end]):
+                found.add((at, end))
+            at = end
+        for n in lengths:
+            step = max(1, n // 4)
+            for start in [*range(0, max(len(words) - n, 0), step), max(len(words) - n, 0)]:
+                if cues & set(words[start : start + n]):
+                    found.add((start, min(start + n, len(words))))
+        if words and re.search(licences.LICENCE_FILE, path):
+            found.add((0, len(words)))
+        passages.append((words, found))
+    n = sum(bool(found) for _, found in passages)
+    df = Counter(w for words, found in passages for w in {x for a, b in found for x in words[a:b]})
+
+    def vector(words):
+        v = {w: c * (math.log((1 + n) / (1 + df[w])) + 1) for w, c in Counter(words).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    known = [(name, vector(words)) for name, words in notices]
+    best = []
+    for words, found in passages:
+        pairs = [(vector(words[a:b]), k) for a, b in found for k in range(len(known))]
+        best.append(min(((-round(sum(x * known[k][1].get(w, 0) for w, x in v.items()), 9), k) for v, k in pairs), default=(0.0, 0)))
+    return [(known[k][0], -far) for far, k in best]
+
+
+def test_similarities_equal_those_of_all_windows(spark):
+    random = np.random.default_rng(5)
+    pool = " ".join(" ".join(t) for t in licences.TEMPLATES.values()).split()[:150] + ["\n", "license", "tree", "Straße"]
+    rows = [(f"a/{'COPYING' if k % 4 == 0 else 'x'}{k}", " ".join(random.choice(pool, random.integers(0, 60)))) for k in range(60)]
+    rows += [("a/n", None), ("a/LICENSE", ""), ("a/LICENSE", "tree"), ("a/many", "license " * 300)]
+    found = licences.licences(spark.createDataFrame(rows, "path string, text string"), threshold=0.0)
+    expected = Counter((path, *(best if best[1] > 0 else (None, None))) for (path, _), best in zip(rows, brute_similarity(rows, licences.TEMPLATES)))
+    got = Counter((r.path, r.licence, r.similarity) if r.via == "own" else (r.path, None, None) for r in found.collect())
+    assert {k[:2] for k in got} == {k[:2] for k in expected}
+    values = {k[:2]: sorted((x[2] or 0) for x in expected.elements() if x[:2] == k[:2]) for k in expected}
+    for k in got:
+        assert sorted((x[2] or 0) for x in got.elements() if x[:2] == k[:2]) == pytest.approx(values[k[:2]], abs=2e-9)
+
+
 # quality
 
 
