@@ -1,9 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its lower-cased words, hashed into slots. The machine adds a weight for each
-term and, for each pair of terms, the product of two short vectors, so that an insult next to the
+A text is the set of its lower-cased words and of the beginnings of longer ones, which inflected words of
+one stem have in common, hashed into slots. The machine adds a weight for each term and, for each pair of terms, the product of two short vectors, so that an insult next to the
 mention of a group can weigh more than both alone. It is fitted on a bounded sample of labelled
-rows by steps scaled to past gradients; the size of the model is fixed by its slots, and every task
+rows by steps scaled to past gradients, in which toxic rows weigh more, as they are few; the size of the model is fixed by its slots, and every task
 gets it by one broadcast of that size.
 
 Defined results: null and empty texts have no terms and score the intercept; rows without a label
@@ -22,18 +22,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightloom.llm.numbering import hash_of
-from brightloom.llm.textkit import ALNUM, Block, blocks, keyed, lists, map_texts
+from brightloom.llm.textkit import ALNUM, Block, Words, blocks, keyed, lists, map_texts, mix
 
 SLOT_BITS = 18
 FACTORS = 8
 MOST_LABELS = 8_000
+#: Bytes of the beginnings of words that are terms of their own.
+BEGINNINGS = (4, 6)
+TOXIC_WEIGHT = 4.0
 
 
 def terms_of(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct slots of the words of each document, and where each document's begin."""
-    words = block.lower().words(ALNUM)
-    slots = words.hashes() >> np.uint64(64 - SLOT_BITS)
-    own = np.unique((words.docs().astype(np.uint64) << np.uint64(SLOT_BITS)) | slots)
+    """Distinct slots of the words of each document and of their beginnings, and where each document's begin."""
+    low = block.lower()
+    words = low.words(ALNUM)
+    kinds = [words.hashes()]
+    for n in BEGINNINGS:
+        begun = Words(low, words.starts, np.minimum(words.ends, words.starts + n))
+        kinds.append(mix(begun.hashes() + np.uint64(n)))
+    docs = words.docs().astype(np.uint64) << np.uint64(SLOT_BITS)
+    own = np.unique(np.concatenate([docs | (hashes >> np.uint64(64 - SLOT_BITS)) for hashes in kinds]))
     bounds = np.searchsorted(own >> np.uint64(SLOT_BITS), np.arange(block.n_docs + 1).astype(np.uint64))
     return (own & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64), bounds
 
@@ -87,13 +95,14 @@ def fit(
     penalty: float = 2e-3,
     shrinkage: float = 5e-2,
     least_docs: int = 3,
+    toxic_weight: float = 1.0,
     seed: int = 7,
     batch: int = 64,
 ) -> FactorizationMachine:
     """Fit by mini-batches: the weights alone at first, then weights and vectors together.
 
     The penalty shrinks weights to zero, so that chance terms drop out; only terms that keep a
-    weight after the first part get a vector.
+    weight after the first part get a vector. A toxic row counts as ``toxic_weight`` others.
     """
     random = np.random.Generator(np.random.PCG64(seed))
     size = 1 << SLOT_BITS
@@ -108,6 +117,7 @@ def fit(
     used, terms = np.unique(slots, return_inverse=True)
     share = np.clip(toxic.mean(), 1e-3, 1 - 1e-3)
     state = _State(float(np.log(share / (1 - share))), np.zeros(len(used)), np.zeros((len(used), FACTORS)))
+    weight = np.where(toxic > 0, toxic_weight, 1.0)
     for epoch in range(linear_epochs + epochs):
         if epoch == linear_epochs:
             kept = state.w != 0
@@ -122,7 +132,7 @@ def fit(
             first = edges[chosen] - np.cumsum(lengths) + lengths
             flat = np.repeat(first, lengths) + np.arange(lengths.sum())
             row = np.repeat(np.arange(len(chosen)), lengths)
-            state.step(row, terms[flat], toxic[chosen], rate, penalty, shrinkage, pairs=epoch >= linear_epochs)
+            state.step(row, terms[flat], toxic[chosen], weight[chosen], rate, penalty, shrinkage, pairs=epoch >= linear_epochs)
     model.intercept = state.intercept
     model.weights[used] = state.w
     model.factors[used] = state.v
@@ -136,14 +146,14 @@ class _State:
         self.intercept, self.w, self.v = intercept, w, v
         self.seen_0, self.seen_w, self.seen_v = 1e-2, np.full(w.shape, 1e-3), np.full(v.shape, 1e-3)
 
-    def step(self, row, term, toxic, rate: float, penalty: float, shrinkage: float, pairs: bool) -> None:
+    def step(self, row, term, toxic, weight, rate: float, penalty: float, shrinkage: float, pairs: bool) -> None:
         m = len(toxic)
         z = self.intercept + np.bincount(row, self.w[term], m)
         if pairs:
             sums = np.stack([np.bincount(row, self.v[term, f], m) for f in range(FACTORS)], axis=1)
             squares = np.bincount(row, (self.v[term] ** 2).sum(axis=1), m)
             z += 0.5 * ((sums**2).sum(axis=1) - squares)
-        error = sigmoid(z) - toxic
+        error = weight * (sigmoid(z) - toxic)
         touched, local = np.unique(term, return_inverse=True)
         g = np.bincount(local, error[row], len(touched)) / m
         self.seen_w[touched] += g * g
@@ -186,7 +196,7 @@ def learn(
     toxic = np.array([p["_label"] for p in rows["_pair"].to_pylist()], float)
     bounds = terms.offsets.to_numpy().astype(np.int64) if len(terms) else np.zeros(1, np.int64)
     flat = terms.values.to_numpy(zero_copy_only=False).astype(np.int64) if len(terms) else np.empty(0, np.int64)
-    return fit(flat, bounds, toxic)
+    return fit(flat, bounds, toxic, toxic_weight=TOXIC_WEIGHT)
 
 
 def scored(docs: DataFrame, model: FactorizationMachine, *, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -411,6 +411,18 @@ def test_held_out_toxicity(spark):
     assert np.mean([(a > b) + 0.5 * (a == b) for a in bad for b in good]) > 0.95
 
 
+def test_held_out_toxicity_of_every_language(spark):
+    folder = SMALL.replace("0.001", "0.1")
+    documents, given = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.learn(documents, given.where(~held_out(5, 0)))
+    asked = documents.where(held_out(5, 0)).join(given, "doc_id").where("toxic IS NOT NULL").select("doc_id", "text", "lang", "toxic")
+    rows = toxicity.scored(asked, model).join(asked.drop("text"), "doc_id").collect()
+    caught = {lang: [r.score >= 0.5 for r in rows if r.toxic == 1 and r.lang == lang] for lang in ("de", "en", "es", "fr")}
+    assert np.mean(sum(caught.values(), [])) > 0.85
+    assert all(np.mean(caught[lang]) > 0.8 for lang in ("de", "en", "fr"))
+    assert np.mean([r.score >= 0.5 for r in rows if r.toxic == 0]) < 0.02
+
+
 # decontamination
 
 
