@@ -33,11 +33,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # nulls are hashed by their place, as a hash of columns skips them
     body = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))
     # a key may stand in several groups, so a row is told by its whole content as well
-    keyed = docs.withColumn(ROW, F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("key"), body.alias("body")))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("key"), body.alias("body"))
+    # the row is one value, so that a column named like the place or a result is of no matter
+    keyed = docs.select(place.alias(ROW), "text", F.struct(*docs.columns).alias("_given"))
     found = jaccard.near_duplicates(keyed, key=ROW)
     chosen = found.where(F.col(ROW) == F.col("component")).select(ROW).distinct()
     # a row that stands in the table twice is a copy as well
-    return keyed.dropDuplicates([ROW]).join(chosen, ROW, "left_semi").select(*docs.columns)
+    return keyed.dropDuplicates([ROW]).join(chosen, ROW, "left_semi").select("_given.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
