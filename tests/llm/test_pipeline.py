@@ -5,6 +5,7 @@ from collections import Counter
 import brute
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brightloom.workspace import written
@@ -82,3 +83,16 @@ def test_near_duplicates_decide_by_row(spark):
     assert len(seconds) == 1 and seconds[0][1] in (other, f"{other} more")
     del kept[seconds[0]]
     assert kept == Counter([(3, text), (None, "alone but said twice or more"), (9, "three short words"), (9, "")])
+
+
+def test_stages_give_back_columns_named_like_inner_ones(spark):
+    names = ["_row", "_given", "node", "component", "n", "counts", "slot", "n_shingles"]
+    docs = brute.odd(spark, extra=False).select("*", *(F.lit(f"given {c}").alias(c) for c in names))
+    labels = spark.createDataFrame([(4, 1, 0), (12, 0, 1)], "doc_id long, quality int, toxic int")
+    rules = corpus_pipeline.quality.learn_rules(docs, labels)
+    counts = corpus_pipeline.quality.text_counts(corpus_pipeline.whole_rows(docs), key=corpus_pipeline.ROW)
+    good = corpus_pipeline.quality.judged(counts, rules).where("kept").select(f"{corpus_pipeline.ROW}.*")
+    single = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    for kept in (good, single):
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select(*names).collect()} <= {tuple(f"given {c}" for c in names)}
