@@ -6,9 +6,7 @@ own, so memory is bounded by the longest text. Null texts count as empty ones.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from brightloom.workspace import import_here
+
 BLOCK_BYTES = 2_000_000
 SPACE = 32
 
@@ -139,18 +139,6 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[Block]:
         row = end
 
 
-def import_here(df: DataFrame) -> None:
-    """Let Python workers of this machine find the package where the driver found it.
-
-    A cluster gets the package by ``--py-files`` or installed; a path that is not there does no harm.
-    """
-    environment = df.sparkSession.sparkContext.environment
-    root = str(Path(__file__).resolve().parents[2])
-    paths = environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
-
-
 def map_texts(
     docs: DataFrame,
     keys: list[str],

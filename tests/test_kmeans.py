@@ -122,6 +122,21 @@ def test_a_constant_column_is_scaled_to_zero(spark):
     assert [r["cluster"] for r in model.assign(df).orderBy("id").collect()] == [0, 1]
 
 
+def test_a_shared_sweep_takes_the_first_of_centres_as_near(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 4.0), (3, 2.0)], "id int, v double")
+    swept = M.sweep_shared(df, K.point(["v"]), {2: [[0.0], [4.0]], 1: [[5.0]]}, max_iterations=1).collect()
+    assert {r["k"]: (r["cost"], r["iterations"]) for r in swept} == {2: (2.0, 1), 1: (8.0, 1)}
+
+
+def test_a_shared_sweep_runs_no_interpreted_functions(spark, points, monkeypatch):
+    """Higher-order functions over all centres are evaluated row by row without generated code."""
+    used = []
+    for name in ("transform", "aggregate", "zip_with", "filter", "from_json"):
+        monkeypatch.setattr(M.F, name, lambda *a, name=name, **k: used.append(name))
+    M.sweep_shared(points, F.array("a", "b", "c"), {2: [[0.0] * 3, [9.0] * 3]}, max_iterations=2).collect()
+    assert not used
+
+
 def test_what_a_load_refuses(spark, points):
     model = M.ClusterModel(["a", "b"], [0.0, 0.0], [1.0, 1.0], [[0.0, 0.0]])
 
