@@ -122,6 +122,17 @@ def test_a_constant_column_is_scaled_to_zero(spark):
     assert [r["cluster"] for r in model.assign(df).orderBy("id").collect()] == [0, 1]
 
 
+def test_a_point_between_two_centres_is_in_the_first(spark):
+    # (14, 903) lies just between (16, 902) and (12, 904), whatever the scales and however their sums are rounded
+    for copies in range(1, 8):
+        rows = [(0, 16, 902.0), (1, 12, 904.0), (2, 14, 903.0), (3, 31, 907.3), (4, 3, 1999.9), (5, 50, 900.1)]
+        df = spark.createDataFrame([(10 * n + i, size, price) for n in range(copies) for i, size, price in rows], "id int, a int, b double")
+        starts = [[16.0, 902.0], [12.0, 904.0], [31.0, 907.3], [3.0, 1999.9], [50.0, 900.1]]
+        model = M.ClusterModel.fit(df, "id", ["a", "b"], starts=starts, max_iterations=1)
+        unscaled = [[v * d + m for v, m, d in zip(c, model.mean, model.deviation)] for c in model.centres]
+        assert np.allclose(unscaled, [[15.0, 902.5], *starts[1:]], atol=1e-9, rtol=0)
+
+
 def test_a_shared_sweep_takes_the_first_of_centres_as_near(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 4.0), (3, 2.0)], "id int, v double")
     swept = M.sweep_shared(df, K.point(["v"]), {2: [[0.0], [4.0]], 1: [[5.0]]}, max_iterations=1).collect()
