@@ -134,12 +134,20 @@ class PrefixCounter:
 
     def fit(self, text: str, budget: int) -> int:
         """Characters of the longest of all prefixes of at most ``budget`` tokens."""
-        _, ends, counts = next(self.tables([text]))
-        at = self.truncate(ends, counts, budget)
-        k = bisect_right(ends, at)
-        # a later safe end is over the budget, and so is whatever contains it
-        left = budget - (counts[k - 1] if k else 0)
-        return at + self.within(text[at : ends[k] if k < len(ends) else len(text)], left)
+        pieces = self.split(text)
+        return self.fit_pieces(pieces, next(self.counts([pieces])), budget)
+
+    def fit_pieces(self, pieces: list[str], counts: list[int], budget: int) -> int:
+        """The same for a text that has been split and counted; only the pieces next to the budget are looked at."""
+        sums = list(accumulate(counts, initial=0))
+        # the last safe end within the budget; a later one is over it, and so is whatever contains it
+        first = bisect_right(sums, budget) - 1
+        last = first + 1
+        while first > 0 and not self.is_safe(pieces, first - 1):
+            first -= 1
+        while last < len(pieces) and not self.is_safe(pieces, last - 1):
+            last += 1
+        return sum(map(len, pieces[:first])) + self.within("".join(pieces[first:last]), budget - sums[first])
 
     def within(self, stretch: str, budget: int) -> int:
         """The same for what stands from one safe end to the next: white space, a piece and a special token, each if any."""
@@ -239,8 +247,13 @@ def token_counts(
         for at in range(0, len(texts), DOCS_AT_A_TIME):
             part = pc.fill_null(texts[at : at + DOCS_AT_A_TIME], "")
             values = part.to_pylist()
-            n_tokens = counter.totals(values)
-            fitting = [len(v) if n <= budget else counter.fit(v, budget) for v, n in zip(values, n_tokens)]
+            split = [counter.split(v) for v in values]
+            counts = list(counter.counts(split))
+            n_tokens = list(map(sum, counts))
+            fitting = [
+                len(v) if n <= budget else counter.fit_pieces(pieces, c, budget)
+                for v, n, pieces, c in zip(values, n_tokens, split, counts)
+            ]
             n_bytes = pc.binary_length(part.cast(pa.large_binary()))
             chosen = keys[key][at : at + DOCS_AT_A_TIME]
             yield {key: chosen, "n_bytes": n_bytes, "n_tokens": n_tokens, "fitting_chars": fitting}

@@ -604,6 +604,18 @@ def test_longest_prefix_of_a_long_run(tokenizer):
     assert encoded[0] <= 1024 and min(encoded[1:]) > 1024
 
 
+def test_a_long_text_is_looked_at_near_the_budget_only(tokenizer, monkeypatch):
+    counter = tokens.PrefixCounter.of(tokenizer_path("byte_bpe_50k.json"))
+    asked = []
+    is_safe = counter.is_safe
+    monkeypatch.setattr(counter, "is_safe", lambda pieces, k: asked.append(k) or is_safe(pieces, k))
+    text = "one two, three " * 5_000
+    found = counter.fit(text, 1024)
+    assert len(tokenizer.encode(text[:found], add_special_tokens=False).ids) <= 1024
+    assert len(tokenizer.encode(text[: found + 1], add_special_tokens=False).ids) > 1024
+    assert len(asked) < 10
+
+
 def test_prefix_table(spark):
     row = tokens.prefix_table(brute.odd(spark).where("doc_id = 8"), tokenizer_path("byte_bpe_50k.json")).first()
     assert (row.n_tokens, row.ends, row.counts) == (2, [3, 9], [1, 2])
