@@ -53,6 +53,7 @@ from brightloom.workspace import fresh_path, written
 MAGIC = b"IDS-S8B1"
 TEXT_BYTES = 6_000_000  # encoded at a time
 REMEMBERED_WORDS = 1_000_000
+WORDS_TOGETHER = 500
 # fixed values: ASCII marks, none of which is a letter, a digit or white space
 MARKS = string.punctuation
 ALPHANUMERIC = bytes_where(lambda b: chr(b) in string.ascii_letters + string.digits)
@@ -109,6 +110,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.closing = closing_ids(path)
         self.known = Known()
 
     def _places(self, words: list[str]) -> np.ndarray:
@@ -118,13 +120,35 @@ class WordEncoder:
             self.known = Known()
             places = self.known.places
         new = [w for w in words if w not in places]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
+        alone = new
+        if self.closing is not None:
+            alone = [w for w in new if not w.isalpha()]
+            alone += self._together([w for w in new if w.isalpha()])
+        for at in range(0, len(alone), 10_000):
+            part = alone[at : at + 10_000]
             found = [f.ids for f in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             self.known.add(part, lengths, np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()))
         return np.fromiter(map(places.__getitem__, words), np.int64, len(words))
 
+    def _together(self, words: list[str]) -> list[str]:
+        """Learn words of letters, many as one text, which takes half the time; returns those that have to be encoded alone.
+
+        A word has one closing id or, if the tokenizer cuts it, several. So with as many closing ids as words each has its own.
+        """
+        left = []
+        for at in range(0, len(words), 20 * WORDS_TOGETHER):
+            parts = [words[k : k + WORDS_TOGETHER] for k in range(at, min(at + 20 * WORDS_TOGETHER, len(words)), WORDS_TOGETHER)]
+            found = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+            for part, encoded in zip(parts, found):
+                ids = np.array(encoded.ids, np.uint32)
+                ends = np.flatnonzero(self.closing[ids]) + 1
+                if len(ends) == len(part) and ends[-1] == len(ids):
+                    self.known.add(part, np.diff(ends, prepend=0), ids)
+                else:
+                    left += part
+        return left
+
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each of some distinct words has, and all ids.
 
@@ -193,6 +217,25 @@ def _suffixes(texts: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(kept))
 
 
+def closing_ids(path: str) -> np.ndarray | None:
+    """Whether each id closes what is between white space or marks; None of a tokenizer that does not tell for every word."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    model = content["model"]
+    suffix, vocabulary = model.get("end_of_word_suffix"), model.get("vocab")
+    steps = [content.get("pre_tokenizer") or {}]
+    steps += steps[0].get("pretokenizers", [])
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    alphabet = [*map(chr, plain), *map(chr, range(256, 256 + 256 - len(plain)))]
+    # the last byte of any word has to be a token, or a word could have no closing id
+    in_bytes = model.get("type") == "BPE" and any(s.get("type") == "ByteLevel" for s in steps)
+    if not in_bytes or not suffix or any(c + suffix not in vocabulary or c not in vocabulary for c in alphabet):
+        return None
+    out = np.zeros(1 + max(chain(vocabulary.values(), (t["id"] for t in content.get("added_tokens", [])))), bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return out
+
+
 def checked(path: str) -> str:
     """The path, if the tokenizer takes words between white space one by one."""
     with open(path, encoding="utf-8") as file:

@@ -149,6 +149,29 @@ def test_no_documents_no_files(spark):
     assert files.count() == 0 and token_files.checksums(files, folder).count() == 0
 
 
+def test_words_of_letters_are_encoded_together():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    encoder = token_files.WordEncoder(WORDS)
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    random = np.random.default_rng(12)
+    letters = [*"etaoinéßİǅʰªﬁ汉", "e\u0301", "\U0001f600", "1"]
+    words = ["".join(random.choice(letters[:7], 6)) for _ in range(4_000)]
+    words += ["".join(random.choice(letters, random.integers(1, 6))) for _ in range(1_000)]
+    ids, counts = encoder.texts(pa.array([" ".join(words)], pa.large_string()), None)
+    assert ids.tolist() == library.encode(" ".join(words), add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+    assert len(asked) < 2_500
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused():
     with pytest.raises(ValueError, match="white space"):
         token_files.checked(tokenizer_path("byte_bpe_50k.json"))
