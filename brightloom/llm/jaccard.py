@@ -11,6 +11,8 @@ finer groups, and those that survive are verified on the sets themselves.
 Links inside a group of thousands of near copies are not needed one by one: each document is first
 compared with the one that is the smallest under most of its shingles; then each shingle whose documents are not yet
 connected compares them with the smallest of them and with one more, and the trees skip whatever is connected by then.
+Two documents that share many such shingles are a pair under the smallest of these alone, as far as the few smallest of
+each document tell.
 Shingles that very many documents have are found by counting all of them into fixed slots, and come
 last in the order by rarity. The order only affects speed: any order finds every link.
 
@@ -51,6 +53,7 @@ LEAF = 32
 PAGE = 512
 SLOT_BITS = 22
 FILTER_BITS = 22
+FIRST_TOKENS = 8
 
 
 def required(sizes: np.ndarray | int) -> np.ndarray | int:
@@ -84,15 +87,15 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A row ``key, n, node, counts, fine`` for each document, and rows ``slot, seen`` for slots of frequent shingles.
+    """A row ``key, n, node, fine`` for each document, and rows ``slot, seen`` for slots of frequent shingles.
 
-    ``counts`` is the point in the tree, ``fine`` has a byte for each of more groups: its count, or 255 if that is more.
+    ``fine`` is the point: a byte for each group has its count, or 255 if that is more.
 
     A task reports a slot that got far more shingles than slots do on the mean, so that what it
     reports stays small; a shingle of many documents stands out in every task.
     """
     import_here(docs)
-    schema = keyed(docs, [key], "n long, node long, counts array<int>, fine binary, slot long, seen long")
+    schema = keyed(docs, [key], "n long, node long, fine binary, slot long, seen long")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +117,6 @@ def described(docs: DataFrame, key: str, text: str) -> DataFrame:
                     key: batch.column(key)[part],
                     "n": list(map(len, sets)),
                     "node": [fingerprint(s) if len(s) else None for s in sets],
-                    "counts": _vectors(sets, GROUPS),
                     "fine": [np.minimum(point(s, FINE_GROUPS), 255).astype(np.uint8).tobytes() for s in sets],
                 }
                 yield rows(block.n_docs, **columns)
@@ -166,10 +168,6 @@ def point(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
 
 
-def _vectors(sets: list[np.ndarray], groups: int) -> pa.Array:
-    return lists(np.concatenate([point(s, groups) for s in sets]), np.arange(len(sets) + 1) * groups)
-
-
 def sets_of(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
     """``node, n, shingles`` of these nodes (and of some more), read from the texts once again.
 
@@ -220,6 +218,18 @@ def room(fine_a: np.ndarray, fine_b: np.ndarray, size_a: np.ndarray, size_b: np.
     return similar_size & may_link(common + np.minimum(above_a, above_b), size_a, size_b)
 
 
+def coarse_counts(fine: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """At least the counts by group, from those by finer group; what lies above 255 may be in any group."""
+    sums = fine.reshape(len(fine), -1, GROUPS).sum(axis=1, dtype=np.int64)
+    return sums + (sizes - sums.sum(axis=1))[:, None]
+
+
+def met_before(token: int, firsts_a: np.ndarray, firsts_b: np.ndarray) -> np.ndarray:
+    """Whether a smaller token is among the first ones of both of a pair, which meets under that one as well."""
+    both = firsts_a[:, :, None] == firsts_b[:, None, :]
+    return (both & (firsts_a < token)[:, :, None]).any(axis=(1, 2))
+
+
 class RTree:
     """Points packed into nodes of ``LEAF`` by component and size; a node has corner, least size and common component."""
 
@@ -263,18 +273,18 @@ class RTree:
 
 
 def surviving_pairs(points: DataFrame) -> DataFrame:
-    """``a, b`` from rows ``token, left, right, node, pivot, component, n, counts, fine`` sorted by token and pages."""
+    """``a, b`` from rows ``token, left, right, node, pivot, component, page, n, fine, firsts`` sorted by token and pages."""
     import_here(points)
     schema = "a long, b long"
 
-    def of_run(node, page, left, right, pivot, group, sizes, counts, fine) -> tuple[np.ndarray, np.ndarray]:
+    def of_run(token, node, page, left, right, pivot, group, sizes, fine, firsts) -> tuple[np.ndarray, np.ndarray]:
         _, first = np.unique(node, return_index=True)  # a node may come from several tasks
         # the smallest document has been compared with all of them
         first = first[node[first] != pivot]
         if len(first) < 2:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         _, groups = np.unique(group[first], return_inverse=True)
-        x, y = RTree(counts[first], sizes[first], groups).pairs()
+        x, y = RTree(coarse_counts(fine[first], sizes[first]), sizes[first], groups).pairs()
         # two points of one page meet in that page's own tree
         across = (page[first][x] != page[first][y]) | (left == right)
         x, y = first[x[across]], first[y[across]]
@@ -283,7 +293,12 @@ def surviving_pairs(points: DataFrame) -> DataFrame:
             p, q = x[at : at + 20_000], y[at : at + 20_000]
             kept.append(room(fine[p], fine[q], sizes[p], sizes[q]))
         kept = np.concatenate(kept)
-        x, y = node[x[kept]], node[y[kept]]
+        x, y = x[kept], y[kept]
+        apart = [np.zeros(0, bool)]
+        for at in range(0, len(x), 20_000):
+            apart.append(~met_before(token, firsts[x[at : at + 20_000]], firsts[y[at : at + 20_000]]))
+        apart = np.concatenate(apart)
+        x, y = node[x[apart]], node[y[apart]]
         return np.minimum(x, y), np.maximum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,12 +311,13 @@ def surviving_pairs(points: DataFrame) -> DataFrame:
             edges = np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [len(table)]))
             last = len(edges) - 1 if batch is None else len(edges) - 2
             node, page, pivot, group, sizes = (table.column(c).to_numpy() for c in ("node", "page", "pivot", "component", "n"))
-            counts = table.column("counts").flatten().to_numpy().reshape(-1, GROUPS)
             fine = fine_counts(table.column("fine"))
+            firsts = table.column("firsts").flatten().to_numpy().reshape(-1, FIRST_TOKENS)
             found = []
             for k in np.flatnonzero(np.diff(edges[: last + 1]) > 1):
                 s = slice(edges[k], edges[k + 1])
-                found.append(of_run(node[s], page[s], keys[1][s][0], keys[2][s][0], pivot[s][0], group[s], sizes[s], counts[s], fine[s]))
+                left, right = keys[1][s][0], keys[2][s][0]
+                found.append(of_run(keys[0][s][0], node[s], page[s], left, right, pivot[s][0], group[s], sizes[s], fine[s], firsts[s]))
             if found:
                 a, b = map(np.concatenate, zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -348,6 +364,8 @@ def verified(asked: DataFrame, docs: DataFrame, text: str, name: str) -> DataFra
 
 def shared_tokens(tokens: DataFrame) -> DataFrame:
     """``token, node, pivot, alike`` of tokens that several nodes have; of ``alike`` tokens with the very same nodes only one."""
+    # the sums by token and the join with them read one shuffle
+    tokens = tokens.repartition("token")
     mixed = F.xxhash64("node") % (1 << 40)
     runs = (
         tokens.groupBy("token")
@@ -368,7 +386,7 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
     documents = rows.where("slot IS NULL").select(key, "n", "node")
     shared = written(shared_tokens(prefixes(docs, slot_weights(rows), text)), "shared-shingles")
     told = rows.where("node IS NOT NULL").groupBy("node")
-    points = written(told.agg(*(F.first(c).alias(c) for c in ("n", "counts", "fine"))), "points")
+    points = written(told.agg(*(F.first(c).alias(c) for c in ("n", "fine"))), "points")
     # each document and the one that is the smallest under most of its shingles
     under = shared.where("node <> pivot").groupBy("node", "pivot").agg(F.sum("alike").alias("_times"))
     nearest = under.groupBy("node").agg(F.max_by("pivot", F.struct("_times", -F.col("pivot"))).alias("a"))
@@ -400,18 +418,23 @@ def links(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[
         .where("_low < _high")
         .select("token", F.ceil(F.col("_m") / PAGE).cast("int").alias("_pages"))
     )
+    columns = ["token", "node", "pivot", "component", "_pages"]
+    meeting = written(grouped.join(several, "token").select(*columns), "meeting-shingles")
+    # the smallest tokens of each node, padded by one that is not smaller than any
+    none = F.lit(np.iinfo(np.int64).max)
+    own = meeting.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST_TOKENS).alias("_own"))
+    firsts = own.select("node", F.slice(F.concat("_own", F.array_repeat(none, FIRST_TOKENS)), 1, FIRST_TOKENS).alias("firsts"))
     left, right = F.least("page", "_other").alias("left"), F.greatest("page", "_other").alias("right")
     paged = (
-        grouped.join(several, "token")
-        .withColumn("page", F.pmod(F.xxhash64("node"), F.col("_pages")).cast("int"))
+        meeting.withColumn("page", F.pmod(F.xxhash64("node"), F.col("_pages")).cast("int"))
         .withColumn("_other", F.explode(F.expr("sequence(0, _pages - 1)")))
         .select("token", "node", "pivot", "component", "page", left, right)
-        .join(points, "node")
+        .join(points.join(firsts, "node"), "node")
     )
     keys = ["token", "left", "right"]
     trees = surviving_pairs(paged.repartition(*keys).sortWithinPartitions(*keys))
     second = verified(written(trees.distinct(), "tree-pairs"), docs, text, "tree-links")
-    discard(shared, points)
+    discard(shared, points, meeting)
     return documents, first.union(second)
 
 

@@ -351,6 +351,42 @@ def test_large_group_around_the_threshold(spark):
     assert {r.doc_id: (r.n_shingles, r.component) for r in found} == expected
 
 
+def test_a_pair_under_many_shingles_is_compared_once(spark, monkeypatch):
+    base = [f"w{k}" for k in range(500)]
+    docs = []
+    for i in range(12):  # two regions of each differ; those with one region in common are just not similar enough
+        words = list(base)
+        for region in (i % 4, 4 + i // 4):
+            for k in range(15):
+                words[60 * region + 10 + k] = f"x{i}x{region}x{k}"
+        docs.append((i, " ".join(words)))
+    made = []
+    surviving = jaccard.surviving_pairs
+
+    def counted(points):
+        found = surviving(points).collect()
+        made.extend(map(tuple, found))
+        return spark.createDataFrame(found, "a long, b long")
+
+    monkeypatch.setattr(jaccard, "surviving_pairs", counted)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.n_shingles, r.component) for r in jaccard.near_duplicates(table).collect()}
+    assert found == set(brute.components(docs))
+    assert len(made) > 5 and len(made) == len(set(made))
+
+
+def test_counts_by_group_of_finer_ones():
+    random = np.random.default_rng(9)
+    for n in (0, 5, 3_000, 200_000):
+        shingles = random.integers(0, 2**63, n).astype(np.uint64)
+        shingles[n // 2 :] -= shingles[n // 2 :] % np.uint64(jaccard.FINE_GROUPS)
+        fine = np.minimum(jaccard.point(shingles, jaccard.FINE_GROUPS), 255).astype(np.uint8)[None]
+        counts = jaccard.coarse_counts(fine, np.array([n]))[0]
+        assert (counts >= jaccard.point(shingles)).all()
+        if n <= 5:
+            assert (counts == jaccard.point(shingles)).all()
+
+
 def test_finer_counts_bound_the_overlap():
     random = np.random.default_rng(5)
     for _ in range(20):
