@@ -9,17 +9,20 @@ learned from the tables of the words.
 
 Tables are sampled by Gibbs sweeps, and predictive probabilities averaged over sweeps after the
 first. The sampler is spread out: contexts that end in the same two bytes form a subtree with no
-other parents, so each subtree is one group; the restaurants above (contexts of one byte and none) are two tables of a fixed size that
+other parents, so a group has whole subtrees; the restaurants above (contexts of one byte and none) are two tables of a fixed size that
 the driver samples between rounds. Within a sweep the restaurants of a level
 see each other's tables as of the sweep before.
 
-A pair of words is two 64-bit hashes, counted in each chunk before pairs meet. Dishes of a word's
-restaurant need only its number of tables from each other, so pairs are seated wherever they lie and no
-context, however common, meets in one task.
+Nothing of the vocabulary is broadcast, and no word or pair is a row. Documents are dealt into chunks of a few
+megabytes, words by their hash, pairs and n-grams of bytes by their codes into as many parts. What one
+of these groups tells another is one row (``letters``) of packed numbers: a chunk tells each part its distinct
+words or pairs in ascending order, and the part answers in that order. So a shuffle moves a few bytes for each
+distinct word or pair of a chunk, and a group holds what a few megabytes of text have.
 
-Nothing of the vocabulary is broadcast. Documents (and words and pairs) are dealt into chunks of a few
-megabytes; each chunk names its distinct words (codes), these join the model, and the chunk meets the
-answers in one group.
+Words are numbered by part, and a pair is one number. A pair of one customer has one table, whatever is drawn, so only
+pairs of more are kept and seated; what the others give to the sums by word follows from the word's own count.
+Dishes of a word's restaurant need only its number of tables from each other, so pairs are seated wherever they lie and no
+context, however common, meets in one task.
 
 Defined results: null texts count as empty ones and have the end alone; null keys train and score like
 others; nothing to train on leaves every byte uniform; repeated rows are rows like any others; further columns are ignored.
@@ -32,13 +35,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brightloom.llm.letters import Letters, Mail, answered, apart, floats, increasing, numbers, packed, rising, unpacked
 from brightloom.llm.seating import BYTES, Level, chain, predictions, seat, log_stirling, sweep
 from brightloom.llm.textkit import NON_SPACE, blocks, import_here, mix
-from brightloom.workspace import written
+from brightloom.workspace import discard, written
 
 CONTEXT = 5  # bytes
 DISCOUNTS = [0.5, 0.6, 0.7, 0.75, 0.8, 0.8]  # by length of the context
@@ -47,18 +50,15 @@ PAIR_DISCOUNT = 0.75
 STRENGTH = 1.0
 STOP = 10
 CHUNK_BYTES = 12_000_000
-PAIR_BYTES = 24
 TOP_LENGTH = 2  # shortest context inside the subtrees
 ROUNDS = 2
 BURN_IN = 1
 SAMPLES = 3
 
 
-def chunked(df: DataFrame, size: Column, spread: list[Column], most: int) -> DataFrame:
-    """Add ``_chunk``: rows dealt by hash into groups of about ``most`` bytes."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    n = max(1, math.ceil(total / most))
-    return df.withColumn("_chunk", F.pmod(F.xxhash64(*spread), F.lit(n)).cast("int"))
+def n_chunks(df: DataFrame, size: Column, most: int) -> int:
+    """How many groups of about ``most`` bytes the rows make."""
+    return max(1, math.ceil((df.agg(F.sum(size)).first()[0] or 0) / most))
 
 
 def slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -75,86 +75,180 @@ def _words_of(texts: pa.Array) -> Iterator[tuple[int, int, object, np.ndarray]]:
         yield block.first_row, block.n_docs, words, words.hashes()
 
 
-def chunk_words(docs: DataFrame) -> DataFrame:
-    """``_chunk, word, c``: the distinct words of each chunk and their number in its training texts; the end is the empty word."""
+def sequence(words, hashes: np.ndarray) -> np.ndarray:
+    """The hashes of a block's words with the end, 0, after each document; the end before is the context of a first word."""
+    return np.insert(hashes, words.bounds[1:], 0)
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of all tokens, the place of each token's among them, and the tokens of each text."""
+    parts = [(sequence(words, hashes), words.counts + 1) for _, _, words, hashes in _words_of(texts)]
+    hashes, lengths = map(np.concatenate, zip(*parts))
+    distinct, place = np.unique(hashes, return_inverse=True)
+    return distinct, place, lengths
+
+
+def word_part(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` parts for each hash, in ascending order of the hashes."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def trained(table: pa.Table) -> np.ndarray:
+    return np.asarray(table.column("_train").combine_chunks().to_numpy(zero_copy_only=False), bool)
+
+
+def chunk_words(docs: DataFrame, n: int) -> DataFrame:
+    """Letters of each chunk to the parts of its words: the hashes, the words and their number in training texts; the end is the empty word."""
     import_here(docs)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        train = np.asarray(table.column("_train").combine_chunks().to_numpy(zero_copy_only=False), bool)
-        names, counts, hashes_of = [], [], []
-        for first, n, words, hashes in _words_of(table.column("_text").combine_chunks()):
+        chunk, train = table.column("_chunk")[0].as_py(), trained(table)
+        names, counts, hashes_of = [pa.array([b""], pa.large_binary())], [np.array([train.sum()])], [np.zeros(1, np.uint64)]
+        for first, n_docs, words, hashes in _words_of(table.column("_text").combine_chunks()):
             distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-            weight = train[first : first + n][words.docs()]
+            weight = train[first : first + n_docs][words.docs()]
             names.append(slices(words.block.data, words.starts[at], words.ends[at]))
             counts.append(np.bincount(place, weight, len(distinct)).astype(np.int64))
             hashes_of.append(distinct)
         hashes, count = np.concatenate(hashes_of), np.concatenate(counts)
         distinct, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-        word = pa.chunked_array(names, pa.large_binary()).combine_chunks().take(pa.array(at))
-        total = np.append(np.bincount(place, count, len(distinct)).astype(np.int64), train.sum())
-        word = pa.concat_arrays([word, pa.array([b""], pa.large_binary())])
-        chunk = table.column("_chunk")[0].as_py()
-        return pa.table({"_chunk": pa.array(np.full(len(total), chunk), pa.int32()), "word": word.cast(pa.binary()), "c": pa.array(total)})
+        word = pa.concat_arrays(names).take(pa.array(at))
+        total = np.bincount(place, count, len(distinct)).astype(np.int64)
+        out = Letters()
+        for part, s in apart(word_part(distinct, n), n):
+            out.add("told", chunk, part, increasing(distinct[s]), *strings(word[s]), packed(total[s]))
+        return out.table()
 
-    return docs.select("_chunk", "_train", "_text").groupBy("_chunk").applyInArrow(run, "_chunk int, word binary, c long")
+    return docs.select("_chunk", "_train", "_text").groupBy("_chunk").applyInArrow(run, Letters.SCHEMA)
 
 
-def pair_hashes(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """64 bits for each pair of hashed words."""
-    return mix(before.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + word.astype(np.uint64))
+def strings(words: pa.Array) -> tuple[bytes, bytes]:
+    """Words as their bytes and their lengths."""
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    return (data.to_pybytes()[bounds[0] : bounds[-1]] if data is not None else b""), packed(np.diff(bounds))
 
 
-def sequence(words, hashes: np.ndarray) -> np.ndarray:
-    """The hashes of a block's words with the end, 0, after each document; the end before is the context of a first word."""
-    return np.insert(hashes, words.bounds[1:], 0)
+def words_from(data: bytes, lengths: bytes) -> pa.Array:
+    bounds = np.concatenate(([0], np.cumsum(unpacked(lengths))))
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 
-def chunk_pairs(docs: DataFrame) -> DataFrame:
-    """``_chunk, u, w, c``: the distinct pairs of each chunk, a word after another, and their number in its training texts."""
-    import_here(docs)
+def vocabulary_of(told: DataFrame) -> DataFrame:
+    """By part its ``words`` in the order of their hashes, with counts and one table each; ``asks``: the places of each chunk's words."""
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        train = np.asarray(table.column("_train").combine_chunks().to_numpy(zero_copy_only=False), bool)
-        parts = []
-        for first, n, words, hashes in _words_of(table.column("_text").combine_chunks()):
-            w = sequence(words, hashes)
-            u = np.append(np.uint64(0), w[:-1])
-            weight = np.repeat(train[first : first + n], words.counts + 1)
-            parts.append(_counted(pair_hashes(u, w), u, w, weight))
-        pair, u, w, c = _counted(*(np.concatenate(column) for column in zip(*parts)))
-        order = np.lexsort((w, u))
-        chunk = np.full(len(c), table.column("_chunk")[0].as_py(), np.int32)
-        return pa.table({"_chunk": chunk, "u": u[order].view(np.int64), "w": w[order].view(np.int64), "c": c[order]})
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        letters = mail["told"]
+        hashes = [rising(m.a).view(np.uint64) for m in letters]
+        distinct, at, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        word = pa.concat_arrays([words_from(m.b, m.c) for m in letters]).take(pa.array(at))
+        n = np.bincount(place, np.concatenate([unpacked(m.d) for m in letters]), len(distinct)).astype(np.int64)
+        ones = packed(np.ones(len(n), np.int64))
+        out.add("words", part, part, *strings(word), packed(n), ones, x=len(n), y=int(n.sum()))
+        ends = np.cumsum([len(h) for h in hashes])
+        for m, end, own in zip(letters, ends, hashes):
+            out.add("asks", m.here, part, increasing(place[end - len(own) : end]))
+
+    return answered(told, run)
+
+
+class Numbering:
+    """Words are numbered by part, in the order of their hashes; a pair is one number, and pairs are dealt by ranges of it.
 
-    return docs.select("_chunk", "_train", "_text").groupBy("_chunk").applyInArrow(run, "_chunk int, u long, w long, c long")
+    The first digit mixes both words, so that the pairs of a common word lie in all ranges.
+    """
+
+    def __init__(self, sizes: dict[int, int], n: int):
+        self.n = n
+        self.starts = np.concatenate(([0], np.cumsum([sizes.get(part, 0) for part in range(n)]))).astype(np.int64)
+        self.all = max(1, int(self.starts[-1]))
+
+    def pairs(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return (u + w) % self.all * self.all + w
+
+    def words(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = pairs % self.all
+        return (pairs // self.all - w) % self.all, w
 
+    def pair_part(self, pairs: np.ndarray) -> np.ndarray:
+        return pairs // self.all * self.n // self.all
 
-def _counted(pair: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
-    distinct, at, place = np.unique(pair, return_index=True, return_inverse=True)
-    return distinct, u[at], w[at], np.bincount(place, c, len(distinct)).astype(np.int64)
+    def numbers(self, asks: list) -> np.ndarray:
+        """The numbers of a chunk's distinct words, from its letters by part."""
+        return np.concatenate([self.starts[part] + places for part, places in asks])
 
+    def by_part(self, words: np.ndarray) -> list[tuple[int, slice]]:
+        """The parts of sorted words and where each part's lie."""
+        return list(apart(np.searchsorted(self.starts, words, "right") - 1, self.n))
 
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """The hash that documents have for each word; 0 for the empty word, which is the end."""
-    out = np.zeros(len(words), np.uint64)
-    for block in blocks(words.cast(pa.large_binary()).cast(pa.large_string())):
-        found = block.words(NON_SPACE)
-        out[block.first_row + found.docs()] = found.hashes()
-    return out
 
+def ids_of(asks: pa.Table, numbering: Numbering) -> np.ndarray:
+    rows = sorted(zip(asks.column("there").to_pylist(), asks.column("a").to_pylist()))
+    return numbering.numbers([(part, rising(a)) for part, a in rows])
 
-def with_hashes(words: DataFrame) -> DataFrame:
-    """Add ``h``, the hash of each of ``word, n``."""
-    import_here(words)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = pa.array(word_hashes(batch.column("word")).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), h], ["word", "n", "h"])
+def with_context(ids: np.ndarray, place: np.ndarray, numbering: Numbering) -> np.ndarray:
+    """The pair of each token and the one before it; before the first one is an end, the word of the least hash."""
+    w = ids[place]
+    return numbering.pairs(np.append(ids[0], w[:-1]), w)
 
-    return words.select("word", "n").mapInArrow(run, "word binary, n long, h long")
+
+def chunk_pairs(docs: DataFrame, asks: DataFrame, numbering: Numbering) -> DataFrame:
+    """Letters of each chunk to the parts of its pairs: the distinct ones, a word after another, and their number in training texts."""
+    import_here(docs)
+
+    def run(table: pa.Table, asked: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        chunk, train = table.column("_chunk")[0].as_py(), trained(table)
+        _, place, lengths = tokens_of(table.column("_text").combine_chunks())
+        pairs, at = np.unique(with_context(ids_of(asked, numbering), place, numbering), return_inverse=True)
+        count = np.bincount(at, np.repeat(train, lengths), len(pairs)).astype(np.int64)
+        out = Letters()
+        for part, s in apart(numbering.pair_part(pairs), numbering.n):
+            out.add("told", chunk, part, increasing(pairs[s]), packed(count[s]))
+        return out.table()
+
+    left = docs.select("_chunk", "_train", "_text").groupBy("_chunk")
+    return left.cogroup(asks.select("here", "there", "a").groupBy("here")).applyInArrow(run, Letters.SCHEMA)
+
+
+def tell_tables(out: Letters, part: int, pairs: np.ndarray, c: np.ndarray, t: np.ndarray, seated: np.ndarray, numbering: Numbering) -> None:
+    """Tell each word how many customers more than tables its pairs have: as the dish, as the context, and that on the mean."""
+    u, w = numbering.words(pairs)
+    words, place = np.unique(np.concatenate((u, w)), return_inverse=True)
+    of_u, of_w = place[: len(u)], place[len(u) :]
+    dish = np.bincount(of_w, c - t, len(words)).astype(np.int64)
+    context = np.bincount(of_u, c - t, len(words)).astype(np.int64)
+    mean = np.bincount(of_u, c - seated, len(words))
+    for word_part_, s in numbering.by_part(words):
+        own = increasing(words[s] - numbering.starts[word_part_])
+        out.add("tables", part, word_part_, own, packed(dish[s]), packed(context[s]), floats(mean[s]))
+
+
+def pairs_of(told: DataFrame, numbering: Numbering) -> DataFrame:
+    """By part its ``pairs`` of several customers, with one table each, and ``tables`` for their words; ``asks``: what each chunk has.
+
+    An ask has for each pair 0, 1 or 2 for no customer, one and several, and the places of the last.
+    """
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        letters = mail["told"]
+        lists = [rising(m.a) for m in letters]
+        distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
+        c = np.bincount(place, np.concatenate([unpacked(m.b) for m in letters]), len(distinct)).astype(np.int64)
+        several = c > 1
+        kind, rank = np.minimum(c, 2).astype(np.uint8), np.cumsum(several) - 1
+        ends = np.cumsum([len(x) for x in lists])
+        for m, end, own in zip(letters, ends, lists):
+            at = place[end - len(own) : end]
+            out.add("asks", m.here, part, kind[at].tobytes(), increasing(rank[at[several[at]]]))
+        pairs, c = distinct[several], c[several]
+        ones = np.ones(len(c), np.int64)
+        out.add("pairs", part, part, increasing(pairs), packed(c), packed(ones), floats(ones))
+        tell_tables(out, part, pairs, c, ones, ones, numbering)
+
+    return answered(told, run)
 
 
 def codes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -176,20 +270,59 @@ def codes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code, np.concatenate((first, ends[-1:]))
 
 
-def chunk_codes(words: DataFrame) -> DataFrame:
-    """``_chunk, code, c``: the distinct n-grams of each chunk of words ``word, tables``, and their number over all tables."""
-    import_here(words)
+def code_part(codes: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` parts for each n-gram; those whose contexts end in the same bytes are in one."""
+    subtree = (codes >> 8) & ((1 << 8 * TOP_LENGTH) - 1)
+    return (mix(subtree.view(np.uint64)) % np.uint64(n)).astype(np.int64)
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        tables = table.column("tables").to_numpy()
-        code, bounds = codes_of(table.column("word").combine_chunks())
-        distinct, place = np.unique(code, return_inverse=True)
-        count = np.bincount(place, np.repeat(tables, np.diff(bounds)), len(distinct)).astype(np.int64)
-        chunk = np.full(len(distinct), table.column("_chunk")[0].as_py(), np.int32)
-        return pa.table({"_chunk": chunk, "code": distinct, "c": count})
 
-    return words.select("_chunk", "word", "tables").groupBy("_chunk").applyInArrow(run, "_chunk int, code long, c long")
+def dealt_codes(words: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of the words by part and value, their parts, the place of each n-gram, and where each word's begin."""
+    code, bounds = codes_of(words)
+    distinct, place = np.unique(code, return_inverse=True)
+    part = code_part(distinct, n)
+    order = np.argsort(part, kind="stable")
+    new = np.empty(len(order), np.int64)
+    new[order] = np.arange(len(order))
+    return distinct[order], part[order], new[place], bounds
+
+
+def customers(letters: DataFrame, n: int) -> DataFrame:
+    """``words`` with their customers, the tables of all contexts, from ``words`` and ``tables``; ``codes``: n-grams over all tables."""
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["words"][0]
+        c = unpacked(state.c)
+        count = c.copy()
+        for m in mail["tables"]:
+            c[rising(m.a)] -= unpacked(m.b)
+        tables = np.minimum(unpacked(state.d), c)
+        out.add("words", part, part, state.a, state.b, state.c, packed(tables), packed(c), x=int(c.sum()), y=int(tables.sum()), z=int((count > 0).sum()))
+        code, parts, place, bounds = dealt_codes(words_from(state.a, state.b), n)
+        of_code = np.bincount(place, np.repeat(tables, np.diff(bounds)), len(code)).astype(np.int64)
+        for to, s in apart(parts, n):
+            out.add("codes", part, to, increasing(code[s]), packed(of_code[s]))
+
+    return answered(letters, run)
+
+
+def merged_codes(codes: DataFrame) -> DataFrame:
+    """By part its ``codes`` and counts; ``asks``: places of the n-grams of each part of words; ``low``: distinct shorter n-grams by code ``x``."""
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        letters = mail["codes"]
+        lists = [rising(m.a).astype(np.int64) for m in letters]
+        distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
+        c = np.bincount(place, np.concatenate([unpacked(m.b) for m in letters]), len(distinct)).astype(np.int64)
+        out.add("codes", part, part, increasing(distinct), packed(c))
+        ends = np.cumsum([len(x) for x in lists])
+        for m, end, own in zip(letters, ends, lists):
+            out.add("asks", m.here, part, increasing(place[end - len(own) : end]))
+        low = np.unique(distinct[c > 0] & ((1 << 8 * (TOP_LENGTH + 1)) - 1)) & ((1 << 8 * TOP_LENGTH) - 1)
+        for code, times in zip(*np.unique(low, return_counts=True)):
+            out.add("low", part, part, x=int(code), y=int(times))
+
+    return answered(codes, run)
 
 
 class Top:
@@ -224,141 +357,159 @@ class Top:
         return (customers - level.discount * tables + opened * parent) / (level.strength + customers.sum(axis=1, keepdims=True))
 
 
-def spelling(codes: DataFrame, seed: int) -> DataFrame:
-    """``code, p``: the averaged probability of each n-gram's last byte after the others; ``codes`` has ``code, c``."""
-    spark = codes.sparkSession
+def spelling(merged: DataFrame, seed: int) -> DataFrame:
+    """``chances`` for each part of words: the averaged probability of the last byte of its n-grams after the others."""
+    spark = merged.sparkSession
     random = np.random.Generator(np.random.PCG64(seed))
-    top_bits = (1 << 8 * TOP_LENGTH) - 1
-    found = (
-        codes.where("c > 0")
-        .select(F.col("code").bitwiseAND(F.lit((1 << 8 * (TOP_LENGTH + 1)) - 1)).alias("_low"))
-        .distinct()
-        .groupBy(F.col("_low").bitwiseAND(F.lit(top_bits)).alias("code"))
-        .count()
-    )
     # at most one row for each pair of bytes
+    found = merged.where("kind = 'low'").groupBy(F.col("x").cast("long")).agg(F.sum("y").cast("long"))
     shared = spark.sparkContext.broadcast(Top([tuple(r) for r in found.collect()], random).table())
 
-    def sample(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("code").to_numpy())
-        code, count = table.column("code").to_numpy()[order], table.column("c").to_numpy()[order]
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["codes"][0]
+        code = rising(state.a).astype(np.int64)
         levels, ups = chain(code, CONTEXT, TOP_LENGTH, DISCOUNTS, STRENGTH)
-        levels[0].customers = count
+        levels[0].customers = unpacked(state.b)
         low = levels[-1].codes
         base = shared.value[(low >> 8) & 255, low & 255]
-        own = np.random.Generator(np.random.PCG64([seed, int(code[0] >> 8 & top_bits)]))
+        own = np.random.Generator(np.random.PCG64([seed, part]))
         sweep(levels, ups, base, None)
         p = np.zeros(len(code))
         for k in range(BURN_IN + SAMPLES):
             sweep(levels, ups, base, own)
             if k >= BURN_IN:
                 p += levels[0].predict(predictions(levels, ups, base)[0]) / SAMPLES
-        return pa.table({"code": code, "p": p})
+        for m in mail["asks"]:
+            out.add("chances", part, m.here, floats(p[rising(m.a)]))
 
-    keyed = codes.withColumn("_subtree", F.shiftright("code", 8).bitwiseAND(F.lit(top_bits)))
-    return keyed.groupBy("_subtree").applyInArrow(sample, "code long, p double")
+    return answered(merged.where("kind <> 'low'"), run)
 
 
-def spelled(words: DataFrame, codes: DataFrame, probabilities: DataFrame, totals: tuple[int, int, int], seed: int) -> DataFrame:
-    """``word, n, h, c, tables, spelled, seated``: the probability of each word's spelling, and drawn and mean tables."""
-    answers = codes.select("_chunk", "code").join(probabilities, "code")
-    customers, tables_before, _ = totals
+def spelled(letters: DataFrame, n: int, tables_before: int, seed: int) -> DataFrame:
+    """``words`` with drawn tables, the probability of their spelling and mean tables, from ``words`` and ``chances``."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        word = left.column("word").combine_chunks() if len(left) else pa.array([], pa.binary())
-        count = left.column("c").to_numpy()
-        before = left.column("tables").to_numpy()
-        code, bounds = codes_of(word)
-        order = np.argsort(right.column("code").to_numpy())
-        known, p = right.column("code").to_numpy()[order], right.column("p").to_numpy()[order]
-        logs = np.log(p[np.searchsorted(known, code)])
-        spelled = np.maximum(np.exp(np.add.reduceat(logs, bounds[:-1])), 1e-300)
-        own = np.random.Generator(np.random.PCG64([seed, int(left.column("_chunk")[0].as_py())]))
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["words"][0]
+        before, count = unpacked(state.d), unpacked(state.e)
+        _, _, place, bounds = dealt_codes(words_from(state.a, state.b), n)
+        p = np.concatenate([numbers(m.a) for m in mail["chances"]])
+        own_spelling = np.maximum(np.exp(np.add.reduceat(np.log(p[place]), bounds[:-1])), 1e-300)
+        own = np.random.Generator(np.random.PCG64([seed, part]))
         stirling = log_stirling(WORD_DISCOUNT)
         others = np.maximum(tables_before - before, 0)
-        draws = [seat(count, others, spelled, WORD_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
+        draws = [seat(count, others, own_spelling, WORD_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
         mean = np.mean(draws[BURN_IN:], axis=0)
-        carried = {"word": word, "n": left.column("n"), "h": left.column("h")}
-        return pa.table(carried | {"c": count, "tables": draws[-1], "spelled": spelled, "seated": mean})
-
-    return (
-        words.select("_chunk", "word", "n", "h", "c", "tables")
-        .groupBy("_chunk")
-        .cogroup(answers.groupBy("_chunk"))
-        .applyInArrow(run, "word binary, n long, h long, c long, tables long, spelled double, seated double")
-    )
+        columns = state.a, state.b, state.c, packed(draws[-1]), state.e, own_spelling.tobytes(), floats(mean)
+        out.add("words", part, part, *columns, x=float(mean.sum()), y=float(own_spelling[count > 0].sum()))
 
+    return answered(letters, run)
 
-def seated_pairs(pairs: DataFrame, words: DataFrame, seed: int) -> DataFrame:
-    """``u, w, c, t, seated`` from ``u, w, c, t`` and words ``h, p, opened``: drawn and mean tables of each pair.
 
-    Pairs are dealt into chunks, which name their words.
-    """
-    import_here(pairs)
-    several = chunked(pairs, F.lit(PAIR_BYTES), [F.col("u"), F.col("w")], CHUNK_BYTES // 8)
-    named = several.select(F.col("_chunk").alias("_asks"), F.explode(F.array("u", "w")).alias("h")).distinct()
-    answers = named.join(words.select("h", "p", "opened"), "h")
+def exact(state, customers_: int, tables: float) -> np.ndarray:
+    """The probability of each word of a letter without a context."""
+    new = (STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers_)
+    own = (unpacked(state.e) - WORD_DISCOUNT * numbers(state.g)) / (STRENGTH + customers_)
+    return own + new * np.frombuffer(state.f, np.float64)
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        u, w, c, t = (left.column(name).to_numpy() for name in ("u", "w", "c", "t"))
-        order = np.argsort(right.column("h").to_numpy())
-        known = right.column("h").to_numpy()[order]
-        parent = np.maximum(right.column("p").to_numpy()[order][np.searchsorted(known, w)].astype(float), 1e-300)
-        others = np.maximum(right.column("opened").to_numpy()[order][np.searchsorted(known, u)].astype(np.int64) - t, 0)
-        own = np.random.Generator(np.random.PCG64([seed, int(left.column("_chunk")[0].as_py())]))
-        stirling = log_stirling(PAIR_DISCOUNT)
-        draws = [seat(c, others, parent, PAIR_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
-        mean = np.mean(draws[BURN_IN:], axis=0)
-        return pa.table({"u": u, "w": w, "c": c, "t": draws[-1], "seated": mean})
 
-    return several.groupBy("_chunk").cogroup(answers.groupBy("_asks")).applyInArrow(
-        run, "u long, w long, c long, t long, seated double"
-    )
+def parents(letters: DataFrame, customers_: int, tables: float) -> DataFrame:
+    """``parents`` for each part of pairs: the probability without a context and the tables as a context of its words."""
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["words"][0]
+        p, opened = exact(state, customers_, tables), unpacked(state.c)
+        for m in mail["tables"]:
+            opened[rising(m.a)] -= unpacked(m.c)
+        for m in mail["tables"]:
+            at = rising(m.a)
+            out.add("parents", part, m.here, floats(p[at]), packed(opened[at]))
+
+    return answered(letters, run)
+
+
+def seated_pairs(letters: DataFrame, numbering: Numbering, seed: int) -> DataFrame:
+    """``pairs`` with drawn and mean tables, and ``tables`` for their words, from ``pairs`` and ``parents``."""
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["pairs"][0]
+        pairs, c, t = rising(state.a).astype(np.int64), unpacked(state.b), unpacked(state.c)
+        mean = np.ones(len(c))
+        if len(pairs):
+            u, w = numbering.words(pairs)
+            _, place = np.unique(np.concatenate((u, w)), return_inverse=True)
+            of_u, of_w = place[: len(u)], place[len(u) :]
+            parent = np.maximum(np.concatenate([numbers(m.a) for m in mail["parents"]])[of_w], 1e-300)
+            others = np.maximum(np.concatenate([unpacked(m.b) for m in mail["parents"]])[of_u] - t, 0)
+            own = np.random.Generator(np.random.PCG64([seed, part]))
+            stirling = log_stirling(PAIR_DISCOUNT)
+            draws = [seat(c, others, parent, PAIR_DISCOUNT, STRENGTH, stirling, own) for _ in range(BURN_IN + SAMPLES)]
+            t, mean = draws[-1], np.mean(draws[BURN_IN:], axis=0)
+        out.add("pairs", part, part, state.a, state.b, packed(t), floats(mean))
+        tell_tables(out, part, pairs, c, t, mean, numbering)
+
+    return answered(letters, run)
+
+
+def only(letters: DataFrame, *kinds: str) -> DataFrame:
+    return letters.where(F.col("kind").isin(*kinds))
 
 
 def learned(
-    words: DataFrame, pairs: DataFrame, rounds: int = ROUNDS, seed: int = 11
+    vocabulary: DataFrame, pairs: DataFrame, numbering: Numbering, rounds: int = ROUNDS, seed: int = 11
 ) -> tuple[DataFrame, DataFrame, dict[str, float]]:
-    """``word, h, n, p, opened``, ``u, w, c, seated`` and sums, from ``word, n, h`` and ``u, w, c``.
+    """``words`` with their spelling and mean tables, ``pairs`` and ``tables`` with mean tables, and sums.
 
-    ``p`` is the probability of each word without a context and ``opened`` the tables of its restaurant;
     ``unseen`` is the probability of all unseen words.
     """
-    seated = pairs.select("u", "w", "c", F.lit(1).cast("long").alias("t"), F.lit(1.0).alias("seated"))
-    # one customer has one table, whatever is drawn
-    single, several = seated.where("c = 1"), seated.where("c > 1")
-    state = words.withColumn("tables", F.lit(1).cast("long"))
+    tokens = int(only(vocabulary, "words").agg(F.sum("y")).first()[0] or 0)
+    state, seated = only(vocabulary, "words"), only(pairs, "pairs", "tables")
+    drawn: tuple[DataFrame, ...] = ()
     for k in range(rounds):
-        # the tables of all contexts are the customers of a word
-        customers_of = seated.groupBy(F.col("w").alias("h")).agg(F.sum("t").alias("c"))
-        state = state.select("word", "n", "h", "tables").join(customers_of, "h", "left")
-        state = state.withColumn("c", F.coalesce("c", F.lit(0).cast("long"))).withColumn("tables", F.least("tables", "c"))
-        state = written(state, "customers")
-        length = F.octet_length("word") + 1
-        dealt = chunked(state, length, [F.col("word")], CHUNK_BYTES // 8)
-        codes = written(chunk_codes(dealt), "codes")
-        counted = written(codes.groupBy("code").agg(F.sum("c").alias("c")), "code-counts")
+        counted = written(customers(state.union(only(seated, "tables")), numbering.n), "customers")
+        merged = written(merged_codes(only(counted, "codes")), "code-counts")
         # one row of sums
-        sums = state.agg(F.sum("c"), F.sum("tables"), F.sum((F.col("c") > 0).cast("long")), F.sum("n")).first()
-        customers, tables_before, distinct, tokens = (int(x or 0) for x in sums)
-        totals = customers, tables_before, distinct
-        state = written(spelled(dealt, codes, spelling(counted, seed + k), totals, seed + 100 + k), "words")
-        known = F.when(F.col("c") > 0, F.col("spelled"))
-        tables, covered = (float(x or 0) for x in state.agg(F.sum("seated"), F.sum(known)).first())
-        new = F.lit((STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers))
-        own = (F.col("c") - F.lit(WORD_DISCOUNT) * F.col("seated")) / F.lit(STRENGTH + customers)
-        exact = (own + new * F.col("spelled")).cast("float")
-        before = _with_opened(state.select("word", "h", "n", exact.alias("p")), seated, "t")
-        several = written(seated_pairs(several, before, seed + 200 + k), "seated-pairs")
-        seated = single.unionByName(several)
-    unseen = (STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers) * max(1.0 - covered, 1e-12)
-    sums = {"customers": tokens, "distinct": distinct, "unseen": unseen}
-    return _with_opened(before.drop("opened"), seated, "seated"), seated.select("u", "w", "c", "seated"), sums
-
-
-def _with_opened(words: DataFrame, pairs: DataFrame, tables: str) -> DataFrame:
-    opened = pairs.groupBy(F.col("u").alias("h")).agg(F.sum(tables).cast("double").alias("opened"))
-    return words.join(opened, "h", "left").withColumn("opened", F.coalesce("opened", F.lit(0.0)))
+        sums = only(counted, "words").agg(F.sum("x"), F.sum("y"), F.sum("z")).first()
+        customers_, tables_before, distinct = (int(x or 0) for x in sums)
+        chances = spelling(merged, seed + k)
+        state = written(spelled(only(counted, "words").union(chances), numbering.n, tables_before, seed + 100 + k), "words")
+        tables, covered = (float(x or 0) for x in state.agg(F.sum("x"), F.sum("y")).first())
+        asked = parents(state.union(only(seated, "tables")), customers_, tables)
+        seated = written(seated_pairs(only(seated, "pairs").union(asked), numbering, seed + 200 + k), "seated-pairs")
+        discard(counted, merged, *drawn)
+        drawn = state, seated
+    unseen = (STRENGTH + WORD_DISCOUNT * tables) / (STRENGTH + customers_) * max(1.0 - covered, 1e-12)
+    sums = {"customers": tokens, "distinct": distinct, "unseen": unseen, "seated": customers_, "tables": tables}
+    return state, seated, sums
+
+
+def word_answers(letters: DataFrame, sums: dict[str, float]) -> DataFrame:
+    """``word`` for each chunk: count, probability and mean tables as a context of its words, from ``words``, ``tables`` and ``asks``."""
+    customers_, tables = sums["seated"], sums["tables"]
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["words"][0]
+        n, p = unpacked(state.c), exact(state, customers_, tables)
+        opened = n.astype(float)
+        for m in mail["tables"]:
+            opened[rising(m.a)] -= numbers(m.d)
+        for m in mail["asks"]:
+            at = rising(m.a)
+            out.add("word", part, m.here, m.a, packed(n[at]), floats(p[at]), floats(opened[at]))
+
+    return answered(letters, run)
+
+
+def pair_answers(letters: DataFrame) -> DataFrame:
+    """``pair`` for each chunk: the customers of its pairs without what their tables pass on, from ``pairs`` and ``asks``."""
+
+    def run(part: int, mail: Mail, out: Letters) -> None:
+        state = mail["pairs"][0]
+        kept_of = unpacked(state.b) - PAIR_DISCOUNT * numbers(state.d)
+        for m in mail["asks"]:
+            kind = np.frombuffer(m.a, np.uint8)
+            out.add("pair", part, m.here, m.a, floats(kept_of[rising(m.b)]))
+
+    return answered(letters, run)
 
 
 def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, dict[str, float]]:
@@ -366,61 +517,52 @@ def scored(docs: DataFrame, train: Column, *, key: str = "doc_id", text: str = "
     import_here(docs)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).alias("_key"), whole.alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
-    dealt = chunked(rows, F.octet_length("_text") + 1, [F.col("_key"), F.col("_text")], CHUNK_BYTES)
-    asked = written(chunk_words(dealt), "chunk-words")
-    asked_pairs = written(chunk_pairs(dealt), "chunk-pairs")
-    vocabulary = written(with_hashes(asked.groupBy("word").agg(F.sum("c").alias("n"))), "vocabulary")
-    counted = written(asked_pairs.where("c > 0").groupBy("u", "w").agg(F.sum("c").alias("c")), "pairs")
-    model, pairs, sums = learned(vocabulary, counted)
-    no_word, no_pair = F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long")
-    of_words = asked.select("_chunk", "word").join(model, "word").select(
-        "_chunk", "word", "n", "p", "opened", no_pair.alias("u"), no_pair.alias("w")
-    )
-    of_pairs = asked_pairs.select("_chunk", "u", "w").join(pairs, ["u", "w"]).select(
-        "_chunk", no_word, F.col("c").alias("n"), F.lit(None).cast("float").alias("p"), F.col("seated").alias("opened"), "u", "w"
-    )
-    answers = of_words.unionByName(of_pairs)
+    n = n_chunks(rows, F.octet_length("_text") + 1, CHUNK_BYTES)
+    dealt = rows.withColumn("_chunk", F.pmod(F.xxhash64("_key", "_text"), F.lit(n)).cast("int"))
+    vocabulary = written(vocabulary_of(chunk_words(dealt, n)), "vocabulary")
+    # one row for each part
+    sizes = only(vocabulary, "words").select("there", "x").collect()
+    numbering = Numbering({part: int(size) for part, size in sizes}, n)
+    asks = only(vocabulary, "asks")
+    counted = written(pairs_of(chunk_pairs(dealt, asks, numbering), numbering), "pairs")
+    words, pairs, sums = learned(vocabulary, counted, numbering)
+    of_words = word_answers(words.union(only(pairs, "tables")).union(asks), sums)
+    of_pairs = pair_answers(only(pairs, "pairs").union(only(counted, "asks")))
+    answers = of_words.union(of_pairs).withColumnRenamed("there", "_chunk")
     smoothed = sums["customers"] + sums["distinct"] + 1.0
     kind = docs.schema[key].dataType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        is_word = right.column("word").combine_chunks().is_valid()
-        words_, pairs_ = right.filter(is_word), right.filter(pc.invert(is_word))
-        # words are asked by the hash that documents have; the empty word is the end
-        of_word = word_hashes(words_.column("word").combine_chunks())
-        order = np.argsort(of_word)
-        known = of_word[order]
-        counts, opened = words_.column("n").to_numpy()[order], words_.column("opened").to_numpy()[order]
+        mail = Mail(right)
+        table = left.combine_chunks()
+        texts = table.column("_text").combine_chunks()
+        _, place, lengths = tokens_of(texts)
+        of_word, of_pair = mail["word"], mail["pair"]
+        ids = numbering.numbers([(m.here, rising(m.a)) for m in of_word])
+        counts = np.concatenate([unpacked(m.b) for m in of_word])
         # the smallest floats stand for spellings that are rarer still
-        exact = np.maximum(words_.column("p").to_numpy()[order].astype(float), 1e-45)
-        parents = {"score": np.where(counts > 0, exact, sums["unseen"]), "spelled_score": exact}
+        exact_ = np.maximum(np.concatenate([numbers(m.c) for m in of_word]), 1e-45)
+        opened = np.concatenate([numbers(m.d) for m in of_word])
+        parents_ = {"score": np.where(counts > 0, exact_, sums["unseen"]), "spelled_score": exact_}
         base = np.log10((counts + 1) / smoothed)
         # what a word's restaurant gives to its parent, and keeps for each pair
         passed = (STRENGTH + PAIR_DISCOUNT * opened) / (STRENGTH + counts)
-        pair = pair_hashes(pairs_.column("u").to_numpy().view(np.uint64), pairs_.column("w").to_numpy().view(np.uint64))
-        by_pair = np.argsort(pair)
-        kept = (pairs_.column("n").to_numpy() - PAIR_DISCOUNT * pairs_.column("opened").to_numpy())[by_pair]
-        pair, kept = np.append(pair[by_pair], np.uint64(0)), np.append(kept, 0.0)
-        end = int(np.searchsorted(known, np.uint64(0)))
-        out = []
-        table = left.combine_chunks()
-        for first, n, words, hashes in _words_of(table.column("_text").combine_chunks()):
-            w = sequence(words, hashes)
-            place, own = np.searchsorted(known, w), np.repeat(np.arange(n), words.counts + 1)
-            before = np.append(end, place[:-1])
-            asked = pair_hashes(known[before], w)
-            at = np.searchsorted(pair[:-1], asked)
-            alone = np.where(pair[at] == asked, kept[at], 0.0) / (STRENGTH + counts[before])
-            columns = {
-                key: table.column("_key").slice(first, n),
-                "n_tokens": words.counts + 1,
-                "n_known": np.bincount(own, counts[place] > 0, n).astype(np.int64),
-                "base_score": np.bincount(own, base[place], n),
-            }
-            for name, parent in parents.items():
-                columns[name] = np.bincount(own, np.log10(alone + passed[before] * parent[place]), n)
-            out.append(pa.table(columns))
-        return pa.concat_tables(out)
+        kinds = np.concatenate([np.frombuffer(m.a, np.uint8) for m in of_pair])
+        kept = np.where(kinds == 1, 1 - PAIR_DISCOUNT, 0.0)
+        kept[kinds == 2] = np.concatenate([numbers(m.b) for m in of_pair])
+        _, at = np.unique(with_context(ids, place, numbering), return_inverse=True)
+        before = np.append(0, place[:-1])
+        alone = kept[at] / (STRENGTH + counts[before])
+        own, n_docs = np.repeat(np.arange(len(texts)), lengths), len(texts)
+        columns = {
+            key: table.column("_key"),
+            "n_tokens": lengths,
+            "n_known": np.bincount(own, counts[place] > 0, n_docs).astype(np.int64),
+            "base_score": np.bincount(own, base[place], n_docs),
+        }
+        for name, parent in parents_.items():
+            columns[name] = np.bincount(own, np.log10(alone + passed[before] * parent[place]), n_docs)
+        return pa.table(columns)
 
     schema = f"`{key}` {kind}, n_tokens long, n_known long, base_score double, score double, spelled_score double"
     result = (
