@@ -364,8 +364,8 @@ def verified(asked: DataFrame, docs: DataFrame, text: str, name: str) -> DataFra
 
 def shared_tokens(tokens: DataFrame) -> DataFrame:
     """``token, node, pivot, alike`` of tokens that several nodes have; of ``alike`` tokens with the very same nodes only one."""
-    # the sums by token and the join with them read one shuffle
-    tokens = tokens.repartition("token")
+    # the sums by token and the join with them read one shuffle; no token is null, but only if both sides say so are they one
+    tokens = tokens.where("token IS NOT NULL").repartition("token")
     mixed = F.xxhash64("node") % (1 << 40)
     runs = (
         tokens.groupBy("token")

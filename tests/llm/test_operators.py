@@ -375,6 +375,14 @@ def test_a_pair_under_many_shingles_is_compared_once(spark, monkeypatch):
     assert len(made) > 5 and len(made) == len(set(made))
 
 
+def test_prefixes_are_made_and_shuffled_once(spark):
+    docs = spark.createDataFrame([(k, f"a b c d e {k % 3} f g h") for k in range(30)], "doc_id long, text string")
+    shared = jaccard.shared_tokens(jaccard.prefixes(docs, np.zeros(1 << jaccard.SLOT_BITS, np.int32), "text"))
+    assert shared.count() and shared.collect()
+    plan = shared._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert (plan.count("MapInArrow"), plan.count("ReusedExchange")) == (1, 1)
+
+
 def test_counts_by_group_of_finer_ones():
     random = np.random.default_rng(9)
     for n in (0, 5, 3_000, 200_000):
