@@ -68,7 +68,8 @@ def failure_counts(found: DataFrame, labels: DataFrame, *, key: str = "doc_id")
         found.groupBy("key", "part", "body")
         .agg(F.first(_mask("short", "repeated", "shouting", "marked")).alias("failed"), F.count("*").alias("n"))
         .withColumn("salt", F.pmod(F.xxhash64("body"), F.lit(SALTS)).cast("int"))
-        .join(known, ["key", "salt"], "left")
+        # Spark takes them for as few as the compressed file has, and would broadcast them salted through the driver
+        .join(known.hint("merge"), ["key", "salt"], "left")
         .select("key", "part", "body", "failed", "n", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")))
     )
     rows = F.struct("key", "n")

@@ -392,3 +392,16 @@ def test_audit_of_no_rows(spark):
     assert filter_audit.filter_audit(brute.odd(spark, []), labels).count() == 0
     one = filter_audit.filter_audit(brute.odd(spark, [(1, None, None, None)]), labels).collect()
     assert len(one) == 600 and {r.part for r in one} == {""}
+
+
+def test_labels_are_not_broadcast(spark):
+    path = fresh_path(spark, "labels")
+    spark.range(2000).selectExpr("id AS doc_id", "id % 2 AS quality", "int(id % 4 = 1) AS toxic").write.parquet(path)
+    flags = ["id % 5 = 0 AS short", *(f"false AS {f}" for f in ("repeated", "shouting", "marked"))]
+    found = spark.range(1000).selectExpr("id AS key", "'en' AS part", "sha1(string(id)) AS body", *flags)
+    counts = filter_audit.failure_counts(found, spark.read.parquet(path)).where("n > 0")
+    by_label = {(False, False): 100, (True, False): 50, (True, True): 50}
+    expected = {("en", 1, *label, n) for label, n in by_label.items()} | {("en", 0, *label, 4 * n) for label, n in by_label.items()}
+    assert set(map(tuple, counts.collect())) == expected
+    # the plan that ran
+    assert "Broadcast" not in counts._jdf.queryExecution().executedPlan().toString()
